@@ -51,7 +51,7 @@ def track_order(spark, sf_dir):
 # --- W1-W3: storm motion -------------------------------------------------------------------
 
 _MOTION_INV, _MOTION_OUT = inverse_sql("motion_ref", "storm_id, line_no, advisory, record_time, dt", prefix="mv")
-MOTION_SQL = S.with_ctes(S.DECK_SQL, """
+MOTION_CTES = """
 motion_base AS (
   SELECT storm_id, advisory, line_no, record_time, longitude, latitude,
     CAST(epoch(datetime) AS BIGINT) AS ep,
@@ -97,7 +97,8 @@ motion AS (
   FROM motion_raw
   WINDOW wf AS (PARTITION BY storm_id, advisory ORDER BY record_time, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
          wb AS (PARTITION BY storm_id, advisory ORDER BY record_time, line_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
-)""", body="""
+)"""
+MOTION_SQL = S.with_ctes(S.DECK_SQL, MOTION_CTES, body="""
 SELECT storm_id, advisory, line_no, round(speed, 4) AS speed, round(direction, 4) AS direction FROM motion""")
 
 
@@ -140,3 +141,94 @@ SELECT storm_id, advisory, track_start_time, n_points, round(length_m, 3) AS len
 def track_length(spark, sf_dir):
     t = T.track_length(ordered_track(spark, sf_dir))
     return t.select("storm_id", "advisory", "track_start_time", "n_points", F.round("length_m", 3).alias("length_m"))
+
+
+# --- F1 / F1b / W7 / F2 / W5 / W6: export text ------------------------------------------
+
+def _sql_pad(expr: str, width: int) -> str:
+    return f"(CASE WHEN length({expr}) < {width} THEN lpad({expr}, {width}, ' ') ELSE {expr} END)"
+
+
+def _sql_int(expr: str) -> str:
+    return f"CAST(CAST(round_even(coalesce(CAST({expr} AS DOUBLE), -99999.0), 0) AS BIGINT) AS VARCHAR)"
+
+
+def _sql_hemi(expr: str, pos: str, neg: str) -> str:
+    t = _sql_int(expr)
+    return f"(CASE WHEN contains({t}, '-') THEN replace({t}, '-', '') || '{neg}' ELSE {t} || '{pos}' END)"
+
+
+def atcf_line_sql(rel: str, tail: bool = True, fh: str = "CAST(forecast_hours AS VARCHAR)") -> str:
+    from cyclonespark.schema import ATCF_WIDTHS
+
+    string_fields = {"basin", "storm_number", "advisory_number", "advisory", "development_level",
+                     "isotach_quadrant_code", "subregion_code", "forecaster_initials", "name"}
+    parts = []
+    for name in ATCF_COLUMNS[:-1]:
+        if name == "datetime":
+            e = "strftime(CASE WHEN advisory = 'BEST' THEN datetime ELSE track_start_time END, '%Y%m%d%H')"
+        elif name == "forecast_hours":
+            e = fh
+        elif name == "latitude":
+            e = _sql_hemi("latitude * 10", "N", "S")
+        elif name == "longitude":
+            e = _sql_hemi("longitude * 10", "E", "W")
+        elif name == "central_pressure":
+            e = "CAST(cp_i AS VARCHAR)"
+        elif name == "background_pressure":
+            e = "CAST(CASE WHEN bg_i <= cp_i THEN CASE WHEN cp_i >= 1013 THEN cp_i + 1 ELSE 1013 END ELSE bg_i END AS VARCHAR)"
+        elif name in string_fields:
+            e = f"CAST({name} AS VARCHAR)"
+        else:
+            e = _sql_int(name)
+        parts.append(f"coalesce(replace({_sql_pad(e, ATCF_WIDTHS[name])}, '-99999', ''), '')")
+    if tail:
+        parts.append("coalesce(extra_values, '')")
+    return (f"SELECT *, concat_ws(',', {', '.join(parts)}) AS line FROM (SELECT *, "
+            f"CAST(round_even(coalesce(central_pressure, -99999.0), 0) AS BIGINT) AS cp_i, "
+            f"CAST(round_even(coalesce(bg_ff, -99999.0), 0) AS BIGINT) AS bg_i FROM {rel})")
+
+
+EXPORT_CTES = """
+export_in AS (
+  SELECT t.* REPLACE (m.speed AS speed, m.direction AS direction),
+    last_value(t.background_pressure IGNORE NULLS) OVER (PARTITION BY t.storm_id ORDER BY t.record_time, t.advisory, t.line_no
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bg_ff
+  FROM track t JOIN motion m USING (storm_id, advisory, line_no)
+)"""
+
+
+@register("atcf_lines", covers=("F1", "F1b", "W7", "K1"), sql=S.with_ctes(
+    S.DECK_SQL, MOTION_CTES, EXPORT_CTES, "export_fmt AS (" + atcf_line_sql("export_in") + ")",
+    body="SELECT storm_id, line_no, line FROM export_fmt"))
+def atcf_lines(spark, sf_dir):
+    from cyclonespark.sinks.atcf import format_atcf
+
+    return format_atcf(moving_track(spark, sf_dir)).select("storm_id", "line_no", "line")
+
+
+FORT22_CTES = """
+f22_rank AS (
+  SELECT storm_id, datetime, dense_rank() OVER (PARTITION BY storm_id ORDER BY datetime) AS record_number
+  FROM (SELECT DISTINCT storm_id, datetime FROM export_in)
+),
+f22_t0 AS (
+  SELECT storm_id, arg_min(datetime, (record_time, advisory, line_no)) AS t0 FROM export_in GROUP BY storm_id
+),
+f22_in AS (
+  SELECT e.*, r.record_number,
+    CAST(trunc(CAST(epoch(e.datetime) - epoch(z.t0) AS DOUBLE) / 3600) AS BIGINT) AS hours_since_start
+  FROM export_in e JOIN f22_rank r USING (storm_id, datetime) JOIN f22_t0 z USING (storm_id)
+  WHERE e.advisory = 'BEST'
+)"""
+
+
+@register("fort22_best_lines", covers=("F2", "W5", "W6", "K2"), sql=S.with_ctes(
+    S.DECK_SQL, MOTION_CTES, EXPORT_CTES, FORT22_CTES,
+    "f22_fmt AS (" + atcf_line_sql("f22_in", tail=False, fh="CAST(hours_since_start AS VARCHAR)") + ")",
+    body="""SELECT storm_id, line_no, line || ',' || (CASE WHEN length(CAST(record_number AS VARCHAR)) < 4
+      THEN lpad(CAST(record_number AS VARCHAR), 4, ' ') ELSE CAST(record_number AS VARCHAR) END) AS line FROM f22_fmt"""))
+def fort22_best_lines(spark, sf_dir):
+    from cyclonespark.sinks.atcf import format_fort22
+
+    return format_fort22(moving_track(spark, sf_dir), advisory="BEST").select("storm_id", "line_no", "line")
