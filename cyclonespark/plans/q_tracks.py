@@ -232,3 +232,191 @@ def fort22_best_lines(spark, sf_dir):
     from cyclonespark.sinks.atcf import format_fort22
 
     return format_fort22(moving_track(spark, sf_dir), advisory="BEST").select("storm_id", "line_no", "line")
+
+
+# --- P2 / P3 / P4 / P17: advisory selection ------------------------------------------------
+
+@register("advisory_deck_a", covers=("P2", "P3", "P4"), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, line_no, advisory FROM deck WHERE advisory IN ('OFCL', 'OFCP', 'HMON', 'CARQ', 'HWRF')"""))
+def advisory_deck_a(spark, sf_dir):
+    from cyclonespark.operators.filters import default_deck, select_advisories
+
+    deck = default_deck(["OFCL", "HWRF"])
+    return select_advisories(S.deck(spark, sf_dir), file_deck=deck).select("storm_id", "line_no", "advisory")
+
+
+@register("ofcl_without_helper", covers=("P17", "P2"), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, line_no, advisory FROM deck WHERE advisory IN ('OFCL', 'CARQ') AND advisory <> 'CARQ'"""))
+def ofcl_without_helper(spark, sf_dir):
+    from cyclonespark.operators.filters import drop_helpers, requested_advisories, select_advisories
+
+    _, helpers = requested_advisories("a", ["OFCL"])
+    loaded = select_advisories(S.deck(spark, sf_dir), file_deck="a", advisories=["OFCL"])
+    return drop_helpers(loaded, helpers).select("storm_id", "line_no", "advisory")
+
+
+# --- P5 / P7 / E7 / E8 / J7: per-storm time slices -----------------------------------------
+
+SLICE_CTES = """
+slice_bounds AS (
+  SELECT storm_id, arg_min(datetime, (record_time, advisory, line_no)) AS s0,
+         arg_max(datetime, (record_time, advisory, line_no)) AS e0
+  FROM track GROUP BY storm_id
+),
+slice_req AS (
+  SELECT storm_id, s0, e0,
+    CASE WHEN s0 + INTERVAL 1 DAY BETWEEN s0 AND e0 THEN s0 + INTERVAL 1 DAY ELSE s0 END AS s1,
+    CASE WHEN e0 - INTERVAL 12 HOUR BETWEEN s0 AND e0 THEN e0 - INTERVAL 12 HOUR ELSE e0 END AS e1
+  FROM slice_bounds
+)"""
+
+
+@register("track_time_slice", covers=("P5", "P7", "E7", "E8", "J7"), sql=S.with_ctes(S.DECK_SQL, SLICE_CTES, body="""
+SELECT t.storm_id, t.line_no, t.datetime FROM track t JOIN slice_req b USING (storm_id)
+WHERE b.s1 <= b.e1 AND t.datetime BETWEEN b.s1 AND b.e1"""))
+def track_time_slice(spark, sf_dir):
+    from cyclonespark.operators.filters import slice_by_storm_bounds
+
+    t = ordered_track(spark, sf_dir)
+    return slice_by_storm_bounds(t, start=86400, end=-43200).select("storm_id", "line_no", "datetime")
+
+
+@register("storm_bounds", covers=("P7", "A3"), sql=S.with_ctes(S.DECK_SQL, SLICE_CTES, body="""
+SELECT storm_id, s0 AS start_date, e0 AS end_date FROM slice_bounds"""))
+def storm_bounds_q(spark, sf_dir):
+    from cyclonespark.operators.ordering import storm_bounds
+
+    return storm_bounds(ordered_track(spark, sf_dir))
+
+
+@register("forecast_cycle_slice", covers=("P6", "P5"), sql=S.with_ctes(S.DECK_SQL, SLICE_CTES, body="""
+SELECT t.storm_id, t.line_no, t.track_start_time, t.datetime
+FROM track t JOIN slice_bounds b USING (storm_id)
+JOIN (SELECT storm_id, max(track_start_time) AS ft FROM track WHERE advisory = 'OFCL' GROUP BY storm_id) f USING (storm_id)
+WHERE t.advisory <> 'BEST' AND t.track_start_time = f.ft AND t.datetime BETWEEN b.s0 AND b.e0"""))
+def forecast_cycle_slice(spark, sf_dir):
+    from cyclonespark.operators.filters import forecast_cycle, select_advisories, time_slice
+    from cyclonespark.operators.ordering import storm_bounds
+
+    t = select_advisories(ordered_track(spark, sf_dir), file_deck="a")
+    latest = t.filter(F.col("advisory") == "OFCL").groupBy("storm_id").agg(F.max("track_start_time").alias("_ft"))
+    t = t.join(storm_bounds(ordered_track(spark, sf_dir)), "storm_id").join(latest, "storm_id")
+    t = time_slice(forecast_cycle(t, F.col("_ft")), F.col("start_date"), F.col("end_date"))
+    return t.select("storm_id", "line_no", "track_start_time", "datetime")
+
+
+# --- P18 / P21 / A7 / A8 / E12: isotachs and radii ----------------------------------------
+
+MEAN_RADIUS_SQL = "(CASE WHEN ((CASE WHEN isotach_radius_for_NEQ IS NOT NULL AND isotach_radius_for_NEQ <> 0 THEN 1 ELSE 0 END) + (CASE WHEN isotach_radius_for_SEQ IS NOT NULL AND isotach_radius_for_SEQ <> 0 THEN 1 ELSE 0 END) + (CASE WHEN isotach_radius_for_SWQ IS NOT NULL AND isotach_radius_for_SWQ <> 0 THEN 1 ELSE 0 END) + (CASE WHEN isotach_radius_for_NWQ IS NOT NULL AND isotach_radius_for_NWQ <> 0 THEN 1 ELSE 0 END)) > 0 THEN (coalesce(nullif(isotach_radius_for_NEQ, 0), 0) + coalesce(nullif(isotach_radius_for_SEQ, 0), 0) + coalesce(nullif(isotach_radius_for_SWQ, 0), 0) + coalesce(nullif(isotach_radius_for_NWQ, 0), 0)) / ((CASE WHEN isotach_radius_for_NEQ IS NOT NULL AND isotach_radius_for_NEQ <> 0 THEN 1 ELSE 0 END) + (CASE WHEN isotach_radius_for_SEQ IS NOT NULL AND isotach_radius_for_SEQ <> 0 THEN 1 ELSE 0 END) + (CASE WHEN isotach_radius_for_SWQ IS NOT NULL AND isotach_radius_for_SWQ <> 0 THEN 1 ELSE 0 END) + (CASE WHEN isotach_radius_for_NWQ IS NOT NULL AND isotach_radius_for_NWQ <> 0 THEN 1 ELSE 0 END)) END)"
+
+
+@register("isotach_50_radii", covers=("P18", "P21", "A7", "E12"), sql=S.with_ctes(S.DECK_SQL, body=f"""
+SELECT storm_id, line_no,
+  nullif(radius_of_maximum_winds, 0) AS radius_of_maximum_winds,
+  nullif(central_pressure, 0) AS central_pressure, nullif(background_pressure, 0) AS background_pressure,
+  round({MEAN_RADIUS_SQL}, 6) AS mean_radius_nmi,
+  round({MEAN_RADIUS_SQL} * 1852.0, 4) AS mean_radius_m
+FROM track WHERE isotach_radius = 50"""))
+def isotach_50_radii(spark, sf_dir):
+    from cyclonespark.functions.timeutil import NMI_TO_M
+    from cyclonespark.operators.filters import isotach, zero_to_null
+
+    t = zero_to_null(isotach(ordered_track(spark, sf_dir), 50))
+    m = T.mean_quadrant_radius()
+    return t.select("storm_id", "line_no", "radius_of_maximum_winds", "central_pressure", "background_pressure",
+                    F.round(m, 6).alias("mean_radius_nmi"), F.round(m * NMI_TO_M, 4).alias("mean_radius_m"))
+
+
+@register("strongest_isotach_radius", covers=("A8",), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, advisory, track_start_time, datetime,
+  arg_max(greatest(nullif(isotach_radius_for_NEQ, 0), nullif(isotach_radius_for_SEQ, 0), nullif(isotach_radius_for_SWQ, 0), nullif(isotach_radius_for_NWQ, 0)),
+          (record_time, advisory, line_no)) AS max_isotach_radius
+FROM track GROUP BY storm_id, advisory, track_start_time, datetime"""))
+def strongest_isotach_radius(spark, sf_dir):
+    return T.strongest_isotach_radius(ordered_track(spark, sf_dir))
+
+
+# --- A1 / A4 / A10 / A11 / A3: storm summaries --------------------------------------------
+
+@register("storm_name", covers=("A1",), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, arg_min(name, (-n, f)) AS name FROM (
+  SELECT storm_id, name, count(*) AS n, min((record_time, advisory, line_no)) AS f FROM track GROUP BY storm_id, name)
+GROUP BY storm_id"""))
+def storm_name(spark, sf_dir):
+    return T.storm_name(ordered_track(spark, sf_dir))
+
+
+@register("storm_attributes", covers=("A4", "E9"), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id,
+  arg_min(basin, (record_time, advisory, line_no)) AS basin,
+  arg_min(storm_number, (record_time, advisory, line_no)) AS storm_number,
+  CAST(year(arg_min(datetime, (record_time, advisory, line_no))) AS INTEGER) AS year,
+  upper(arg_max(basin, (record_time, advisory, line_no)) || arg_max(storm_number, (record_time, advisory, line_no))
+        || CAST(year(arg_max(datetime, (record_time, advisory, line_no))) AS VARCHAR)) AS nhc_code
+FROM track GROUP BY storm_id"""))
+def storm_attributes(spark, sf_dir):
+    return T.storm_attributes(ordered_track(spark, sf_dir))
+
+
+@register("track_summary", covers=("A11", "A10", "A3", "A2"), sql=S.with_ctes(S.DECK_SQL, LENGTH_CTES, body="""
+SELECT b.storm_id, n_rows, n_advisories, n_tracks, n_times, round(duration_h, 6) AS duration_h, round(l.length_m, 3) AS length_m
+FROM (SELECT storm_id, count(*) AS n_rows, count(DISTINCT advisory) AS n_advisories,
+        count(DISTINCT (advisory, track_start_time)) AS n_tracks, count(DISTINCT datetime) AS n_times,
+        (epoch(arg_max(datetime, (record_time, advisory, line_no))) - epoch(arg_min(datetime, (record_time, advisory, line_no)))) / 3600.0 AS duration_h
+      FROM track GROUP BY storm_id) b
+LEFT JOIN (SELECT storm_id, sum(length_m) AS length_m FROM len_track GROUP BY storm_id) l USING (storm_id)"""))
+def track_summary(spark, sf_dir):
+    s = T.track_summary(ordered_track(spark, sf_dir))
+    return s.select("storm_id", "n_rows", "n_advisories", "n_tracks", "n_times",
+                    F.round("duration_h", 6).alias("duration_h"), F.round("length_m", 3).alias("length_m"))
+
+
+# --- U1 / U2: separate and combine --------------------------------------------------------
+
+@register("combined_order", covers=("U1", "U2"), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, line_no, advisory, track_start_time,
+  row_number() OVER (PARTITION BY storm_id ORDER BY af, track_start_time, record_time, advisory, line_no) AS combined_rank
+FROM (SELECT *, min((record_time, advisory, line_no)) OVER (PARTITION BY storm_id, advisory) AS af FROM track)"""))
+def combined_order(spark, sf_dir):
+    from pyspark.sql import Window
+
+    t = T.combine_order(T.separate_tracks(ordered_track(spark, sf_dir)))
+    rank = F.row_number().over(Window.partitionBy("storm_id").orderBy("combine_key"))
+    return t.select("storm_id", "line_no", "advisory", "track_start_time", rank.alias("combined_rank"))
+
+
+# --- O6: first file time at or after the requested end -------------------------------------
+
+@register("first_time_after_end", covers=("O6",), sql=S.with_ctes(S.DECK_SQL, SLICE_CTES, body="""
+SELECT t.storm_id, min(CASE WHEN t.datetime >= b.e0 - INTERVAL 1 DAY THEN t.datetime END) AS file_end_date
+FROM track t JOIN slice_bounds b USING (storm_id) GROUP BY t.storm_id"""))
+def first_time_after_end(spark, sf_dir):
+    from cyclonespark.operators.ordering import storm_bounds
+
+    t = ordered_track(spark, sf_dir)
+    b = storm_bounds(t).select("storm_id", (F.col("end_date") - F.expr("INTERVAL 1 DAY")).alias("end_date"))
+    return T.first_time_at_or_after(t.join(b, "storm_id"))
+
+
+# --- A12 / W13: comparisons ---------------------------------------------------------------
+
+@register("track_equal", covers=("A12",), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT count(*) = 0 AS equal, count(*) AS n_differences FROM (
+  (SELECT storm_id, line_no, advisory, latitude, longitude FROM deck
+   EXCEPT ALL SELECT storm_id, line_no, advisory, latitude, longitude FROM deck WHERE advisory <> 'HMON')
+  UNION ALL
+  (SELECT storm_id, line_no, advisory, latitude, longitude FROM deck WHERE advisory <> 'HMON'
+   EXCEPT ALL SELECT storm_id, line_no, advisory, latitude, longitude FROM deck))"""))
+def track_equal(spark, sf_dir):
+    d = S.deck(spark, sf_dir).select("storm_id", "line_no", "advisory", "latitude", "longitude")
+    return T.frames_equal(d, d.filter(F.col("advisory") != "HMON"))
+
+
+@register("position_changes", covers=("W13",), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, line_no FROM deck WHERE line_no % 10 = 3"""))
+def position_changes(spark, sf_dir):
+    from cyclonespark.operators.velocity import changed_positions
+
+    d = S.deck(spark, sf_dir)
+    moved = d.withColumn("longitude", F.when(F.col("line_no") % 10 == 3, F.col("longitude") + 0.1).otherwise(F.col("longitude")))
+    return changed_positions(d, moved, key=("storm_id", "line_no"))
