@@ -1,3 +1,170 @@
-"""Registered queries (q_repair)."""
+"""Registered repair queries."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cyclonespark.operators import repair as R
+from cyclonespark.plans import surrogates as S
+from cyclonespark.plans.q_tracks import ordered_track
+from cyclonespark.plans.registry import register
+
+REF_CTES = """
+carq_cyc AS (SELECT DISTINCT storm_id, track_start_time FROM track WHERE advisory = 'CARQ'),
+carq_ref0 AS (
+  SELECT storm_id, track_start_time,
+    arg_min(radius_of_maximum_winds, (record_time, advisory, line_no)) AS rmw0,
+    arg_min(background_pressure, (record_time, advisory, line_no)) AS bg0,
+    arg_min(central_pressure, (record_time, advisory, line_no)) AS pc0,
+    arg_min(max_sustained_wind_speed, (record_time, advisory, line_no)) AS vmax0
+  FROM track WHERE advisory = 'CARQ' AND forecast_hours = 0 GROUP BY storm_id, track_start_time
+),
+carq_ref AS (SELECT c.storm_id, c.track_start_time, r.rmw0, r.bg0, r.pc0, r.vmax0
+             FROM carq_cyc c LEFT JOIN carq_ref0 r USING (storm_id, track_start_time)),
+carq_first AS (SELECT storm_id, rmw0, bg0, pc0, vmax0 FROM (
+  SELECT *, row_number() OVER (PARTITION BY storm_id ORDER BY track_start_time) AS rn FROM carq_ref) WHERE rn = 1),
+refs AS (
+  SELECT o.storm_id, o.track_start_time,
+    CASE WHEN s.storm_id IS NOT NULL THEN s.rmw0 ELSE f.rmw0 END AS rmw0,
+    CASE WHEN s.storm_id IS NOT NULL THEN s.bg0 ELSE f.bg0 END AS bg0,
+    CASE WHEN s.storm_id IS NOT NULL THEN s.pc0 ELSE f.pc0 END AS pc0,
+    CASE WHEN s.storm_id IS NOT NULL THEN s.vmax0 ELSE f.vmax0 END AS vmax0
+  FROM (SELECT DISTINCT storm_id, track_start_time FROM track WHERE advisory = 'OFCL') o
+  JOIN carq_first f ON f.storm_id = o.storm_id
+  LEFT JOIN carq_ref s ON s.storm_id = o.storm_id AND s.track_start_time = o.track_start_time
+),
+rep_in AS (
+  SELECT t.*, r.rmw0, r.bg0, r.pc0, r.vmax0,
+    (t.radius_of_maximum_winds IS NULL OR t.radius_of_maximum_winds = 0) AS rmw_missing,
+    (t.central_pressure IS NULL OR t.central_pressure = 0) AS pc_missing,
+    (t.background_pressure IS NULL OR t.background_pressure = 0) AS bg_missing
+  FROM track t JOIN refs r USING (storm_id, track_start_time) WHERE t.advisory = 'OFCL'
+),
+rep_other AS (
+  SELECT t.* FROM track t
+  WHERE NOT (t.advisory = 'OFCL' AND EXISTS (SELECT 1 FROM refs r WHERE r.storm_id = t.storm_id AND r.track_start_time = t.track_start_time))
+),
+rep_persist AS (
+  SELECT * REPLACE (
+    CASE WHEN rmw_missing THEN rmw0 ELSE radius_of_maximum_winds END AS radius_of_maximum_winds,
+    CASE WHEN bg_missing THEN bg0 ELSE background_pressure END AS background_pressure)
+  FROM rep_in
+)"""
+
+OUT_COLS = "storm_id, line_no, advisory, radius_of_maximum_winds, round(background_pressure, 6) AS background_pressure, round(central_pressure, 6) AS central_pressure"
+
+
+def _out(df):
+    return df.select("storm_id", "line_no", "advisory", "radius_of_maximum_winds",
+                     F.round("background_pressure", 6).alias("background_pressure"),
+                     F.round("central_pressure", 6).alias("central_pressure"))
+
+
+@register("carq_reference", covers=("J4",), sql=S.with_ctes(S.DECK_SQL, REF_CTES, body="""
+SELECT storm_id, track_start_time, rmw0, bg0, pc0, vmax0 FROM refs"""))
+def carq_reference(spark, sf_dir):
+    r = R.carq_reference(ordered_track(spark, sf_dir))
+    return r.select("storm_id", "track_start_time", "ref.rmw0", "ref.bg0", "ref.pc0", "ref.vmax0")
+
+
+HOLLAND_SQL = """
+rep_holland AS (
+  SELECT * REPLACE (
+    CASE WHEN pc_missing THEN
+      CASE WHEN vmax0 IS NULL OR bg0 IS NULL OR pc0 IS NULL THEN NULL
+           WHEN bg0 = pc0 THEN background_pressure
+           ELSE (-(max_sustained_wind_speed * max_sustained_wind_speed) * 1.15 * exp(1)) / ((vmax0 * vmax0 * 1.15 * exp(1)) / (bg0 - pc0)) + background_pressure END
+    ELSE central_pressure END AS central_pressure)
+  FROM rep_persist
+)"""
+
+
+@register("ofcl_repair_persistent", covers=("M1", "M2", "M6", "M7", "M10", "P21"), sql=S.with_ctes(
+    S.DECK_SQL, REF_CTES, HOLLAND_SQL, body=f"""
+SELECT {OUT_COLS} FROM rep_holland
+UNION ALL SELECT {OUT_COLS} FROM rep_other"""))
+def ofcl_repair_persistent(spark, sf_dir):
+    return _out(R.correct_ofcl(ordered_track(spark, sf_dir), rmw_fill="persistent", pc_fill="persistent_holland_b"))
+
+
+def _r34_sql(scale: str) -> str:
+    q = ["isotach_radius_for_NEQ", "isotach_radius_for_SEQ", "isotach_radius_for_SWQ", "isotach_radius_for_NWQ"]
+    num = " + ".join(f"coalesce(nullif({c}, 0), 0)" for c in q)
+    den = " + ".join(f"(CASE WHEN {c} IS NOT NULL AND {c} <> 0 THEN 1 ELSE 0 END)" for c in q)
+    return f"0.85 * (CASE WHEN ({den}) > 0 THEN ({num}) / ({den}) END) * {scale}"
+
+
+CHAVAS_SQL = f"""
+chv_a AS (SELECT *, {_r34_sql('1852.0')} AS r34own FROM rep_persist WHERE pc_missing),
+chv_b AS (
+  SELECT *, CASE WHEN isotach_radius > 35 THEN last_value(CASE WHEN isotach_radius <= 35 THEN r34own END IGNORE NULLS)
+      OVER (PARTITION BY storm_id, advisory, track_start_time ORDER BY record_time, advisory, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    ELSE r34own END AS r34,
+    CASE WHEN 0.5144 * (max_sustained_wind_speed - 0.55 * speed) < 20 THEN 20.0
+         ELSE 0.5144 * (max_sustained_wind_speed - 0.55 * speed) END AS vv,
+    7.292e-5 * sin(radians(latitude)) AS fo2
+  FROM chv_a
+),
+rep_chavas AS (
+  SELECT * EXCLUDE (r34own, r34, vv, fo2) REPLACE (
+    round_even(background_pressure + 2 + coalesce(-6.60 + -0.0127 * vv * vv + -5.506 * fo2 * r34 + 109.013 * fo2 * r34 / vv,
+                                                   20.23 + -1.54 * vv), 0) AS central_pressure)
+  FROM chv_b
+  UNION ALL SELECT * FROM rep_persist WHERE NOT pc_missing
+)"""
+
+
+@register("ofcl_repair_chavas", covers=("M8", "W8", "M10"), sql=S.with_ctes(S.DECK_SQL, REF_CTES, CHAVAS_SQL, body=f"""
+SELECT {OUT_COLS} FROM rep_chavas
+UNION ALL SELECT {OUT_COLS} FROM rep_other"""))
+def ofcl_repair_chavas(spark, sf_dir):
+    return _out(R.correct_ofcl(ordered_track(spark, sf_dir), rmw_fill="persistent", pc_fill="regression_chavas_2025"))
+
+
+CK_SQL = f"""
+ck_a AS (SELECT *, {_r34_sql('1.0')} AS r34own FROM rep_persist WHERE pc_missing),
+ck_b AS (
+  SELECT *, CASE WHEN isotach_radius > 35 THEN last_value(CASE WHEN isotach_radius <= 35 THEN r34own END IGNORE NULLS)
+      OVER (PARTITION BY storm_id, advisory, track_start_time ORDER BY record_time, advisory, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    ELSE r34own END AS r34
+  FROM ck_a
+),
+ck_c AS (
+  SELECT *, coalesce(last_value(r34 IGNORE NULLS) OVER wf, first_value(r34 IGNORE NULLS) OVER wb) AS r34f,
+    CASE WHEN max_sustained_wind_speed - 1.5 * pow(speed, 0.63) < 25 THEN 25.0
+         ELSE max_sustained_wind_speed - 1.5 * pow(speed, 0.63) END AS vsrm
+  FROM ck_b
+  WINDOW wf AS (PARTITION BY storm_id, advisory, track_start_time ORDER BY record_time, advisory, line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         wb AS (PARTITION BY storm_id, advisory, track_start_time ORDER BY record_time, advisory, line_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+),
+ck_d AS (
+  SELECT *, (r34f / 9 - 3) / (max_sustained_wind_speed * pow((66.785 - 0.09102 * max_sustained_wind_speed + 1.0619 * (latitude - 25)) / 500,
+                                 0.1147 + 0.0055 * max_sustained_wind_speed - 0.001 * (latitude - 25))) AS s0
+  FROM ck_c
+),
+rep_ck AS (
+  SELECT * EXCLUDE (r34own, r34, r34f, vsrm, s0) REPLACE (
+    round_even(background_pressure + 2 + CASE WHEN latitude < 18
+        THEN 5.962 - 0.267 * vsrm - pow(vsrm / 18.26, 2.0) - 6.8 * (CASE WHEN s0 < 0.4 THEN 0.4 ELSE s0 END)
+        ELSE 23.286 - 0.483 * vsrm - pow(vsrm / 24.524, 2.0) - 12.587 * (CASE WHEN s0 < 0.4 THEN 0.4 ELSE s0 END) - 0.483 * latitude END, 0)
+      AS central_pressure)
+  FROM ck_d
+  UNION ALL SELECT * FROM rep_persist WHERE NOT pc_missing
+)"""
+
+
+@register("ofcl_repair_courtney_knaff", covers=("M9", "W9", "M10"), sql=S.with_ctes(S.DECK_SQL, REF_CTES, CK_SQL, body=f"""
+SELECT {OUT_COLS} FROM rep_ck
+UNION ALL SELECT {OUT_COLS} FROM rep_other"""))
+def ofcl_repair_courtney_knaff(spark, sf_dir):
+    return _out(R.correct_ofcl(ordered_track(spark, sf_dir), rmw_fill="persistent", pc_fill="regression_courtney_knaff_2009"))
+
+
+@register("ofcl_repair_regression", covers=("M3", "M4", "M5", "W10", "W11", "J10", "E11", "M10"))
+def ofcl_repair_regression(spark, sf_dir):
+    """Default repair (Penny regression + smoothing, persistent Holland B); checked against a
+    brute-force per-cycle evaluation in tests/test_repair.py."""
+    out = R.correct_ofcl(ordered_track(spark, sf_dir))
+    return out.select("storm_id", "line_no", "advisory", F.round("radius_of_maximum_winds", 6).alias("radius_of_maximum_winds"),
+                      F.round("background_pressure", 6).alias("background_pressure"),
+                      F.round("central_pressure", 6).alias("central_pressure"))
