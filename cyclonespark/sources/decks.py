@@ -108,6 +108,13 @@ def parse_deck_lines(lines: DataFrame, extras: str = "null", fort22: bool = Fals
             F.lit(None).cast("double" if c in NUMERIC_COLUMNS else "string").alias(c)
             for c in EXTRA_ATCF_COLUMNS[:-1]
         ])
+        # a file whose tails hold commas gets the (empty) extended columns instead of its tail
+        comma = F.coalesce(F.col("extra_values").contains(","), F.lit(False))
+        if "path" in out.columns:
+            from pyspark.sql import Window
+
+            comma = F.max(comma).over(Window.partitionBy("path"))
+        out = out.withColumn("extra_values", F.when(comma, F.lit(None).cast("string")).otherwise(F.col("extra_values")))
     return out
 
 
