@@ -325,3 +325,26 @@ product AS (
 
 def with_ctes(*parts: str, body: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + body
+
+
+def part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_type")
+    k = F.col("p_partkey")
+    return p.select(k.alias("file_id"), (F.col("p_size") % 10 + 1).cast("long").alias("filetype_id"),
+                    F.col("p_name").alias("name"), ((k % 300) * 50).cast("long").alias("event_id"))
+
+
+def part_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
+    k = F.col("p_partkey")
+    return p.select(k.alias("instrument_id"), (F.col("p_size") % 6 + 1).cast("long").alias("sensor_type_id"),
+                    (k % 4 + 1).cast("long").alias("deployment_type_id"), ((k % 300) * 50).cast("long").alias("event_id"),
+                    F.col("p_type").alias("location_description"))
+
+
+PARTS_SQL = """
+files AS (SELECT p_partkey AS file_id, CAST(p_size % 10 + 1 AS BIGINT) AS filetype_id, p_name AS name,
+                 CAST((p_partkey % 300) * 50 AS BIGINT) AS event_id FROM part),
+sensors AS (SELECT p_partkey AS instrument_id, CAST(p_size % 6 + 1 AS BIGINT) AS sensor_type_id,
+                   CAST(p_partkey % 4 + 1 AS BIGINT) AS deployment_type_id, CAST((p_partkey % 300) * 50 AS BIGINT) AS event_id,
+                   p_type AS location_description FROM part)"""
