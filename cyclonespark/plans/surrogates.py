@@ -23,7 +23,9 @@ from cyclonespark.sources.decks import parse_deck_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    from cyclonespark.session import spread
+
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _i(c) -> Column:

@@ -76,8 +76,11 @@ def parse_deck_lines(lines: DataFrame, extras: str = "null", fort22: bool = Fals
     (extended tail columns always null, tail kept in ``extra_values``);
     ``extras="parse"`` splits the tail into the extended (or fort.22) columns.
     """
-    fields = F.split(F.col("line"), ",", len(ATCF_COLUMNS))
-    cols: list[Column] = [F.col(k) for k in keep if k in lines.columns]
+    kept = [k for k in keep if k in lines.columns]
+    # split once per line (one projection), then address the fields
+    lines = lines.select(*kept, F.split(F.col("line"), ",", len(ATCF_COLUMNS)).alias("_fields"))
+    fields = F.col("_fields")
+    cols: list[Column] = [F.col(k) for k in kept]
     raw = {name: _field(fields, i) for i, name in enumerate(ATCF_COLUMNS)}
 
     for name in ATCF_COLUMNS:
