@@ -61,7 +61,7 @@ def deck_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     mslp = F.when(eid % 5 == 0, 0).otherwise(1005 - eid % 90)
     rad = F.when(eid % 3 == 0, 34).when(eid % 3 == 1, 50).otherwise(64)
     radp = F.when(eid % 7 == 0, 0).otherwise(1006 + eid % 8)
-    mrd = F.when(eid % 4 == 0, 0).otherwise(10 + eid % 40)
+    mrd = F.when(eid % 4 == 1, 0).otherwise(10 + eid % 40)
     speed = F.when(eid % 13 == 0, F.lit("")).otherwise((eid % 25).cast("string"))
     name = F.when(eid % 7 == 0, F.lit("INVEST")).when(eid % 7 == 1, F.lit("")).otherwise(F.concat(F.lit("NAME"), (uid % 97).cast("string")))
     basin = F.when(uid % 3 == 0, "AL").when(uid % 3 == 1, "EP").otherwise("CP")
@@ -107,7 +107,7 @@ deck AS (
     CAST((event_id * 3) % 80 AS DOUBLE) AS isotach_radius_for_NWQ,
     CAST(CASE WHEN event_id % 7 = 0 THEN 0 ELSE 1006 + event_id % 8 END AS DOUBLE) AS background_pressure,
     CAST(150 + event_id % 50 AS DOUBLE) AS radius_of_last_closed_isobar,
-    CAST(CASE WHEN event_id % 4 = 0 THEN 0 ELSE 10 + event_id % 40 END AS DOUBLE) AS radius_of_maximum_winds,
+    CAST(CASE WHEN event_id % 4 = 1 THEN 0 ELSE 10 + event_id % 40 END AS DOUBLE) AS radius_of_maximum_winds,
     CAST(30 + event_id % 140 AS DOUBLE) AS gust_speed,
     CAST(event_id % 30 AS DOUBLE) AS eye_diameter,
     'L' AS subregion_code,
