@@ -9,6 +9,9 @@ iterations reach double precision for every pair that is not nearly antipodal
 (storm legs are short).
 
 Coincident points give distance 0 and both azimuths 0.
+
+Inputs are expected to be data columns: when every coordinate is a literal the
+optimizer constant-folds the chained iterations into one ever-growing expression.
 """
 
 from __future__ import annotations
