@@ -420,3 +420,16 @@ def position_changes(spark, sf_dir):
     d = S.deck(spark, sf_dir)
     moved = d.withColumn("longitude", F.when(F.col("line_no") % 10 == 3, F.col("longitude") + 0.1).otherwise(F.col("longitude")))
     return changed_positions(d, moved, key=("storm_id", "line_no"))
+
+
+# --- P19: decks whose RAD field is missing ---------------------------------------------------
+
+@register("deck_rad_check", covers=("P19",), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, count(*) FILTER (WHERE isotach_radius IS NULL) AS rows_without_rad FROM deck GROUP BY storm_id"""))
+def deck_rad_check(spark, sf_dir):
+    from cyclonespark.sources.decks import rad_field_check
+
+    d = S.deck(spark, sf_dir)
+    bad = rad_field_check(d, file_col="storm_id")
+    return d.select("storm_id").distinct().join(bad, "storm_id", "left").select(
+        "storm_id", F.coalesce("rows_without_rad", F.lit(0)).cast("long").alias("rows_without_rad"))

@@ -138,3 +138,15 @@ def test_flood_event_json_and_empty_hwm(spark):
 def test_hwm_query_refinement():
     q = U.merge_hwm_query({"event_id": 182, "quality": [1, 2]}, quality=None, us_states=["FL"])
     assert q["event_id"] == 182 and q["quality"] == [1, 2] and q["us_states"] == ["FL"]
+
+
+def test_hwm_csv_event_lookup(spark):
+    d = tempfile.mkdtemp(prefix="cyclonespark-csv-")
+    with open(os.path.join(d, "a.csv"), "w") as fh:
+        fh.write("hwm_id,event_id,eventName,elev_ft\n5,,Florence Sep 2018,3.5\n7,,Florence Sep 2018,4.0\n")
+    with open(os.path.join(d, "b.csv"), "w") as fh:
+        fh.write("hwm_id,event_id,eventName,elev_ft\n9,182,Irma September 2017,2.0\n")
+    events = spark.createDataFrame([(283, "Florence Sep 2018"), (182, "Irma September 2017")], "usgs_id long, name string")
+    csv = U.read_hwm_csv(spark, [os.path.join(d, "a.csv"), os.path.join(d, "b.csv")])
+    got = {os.path.basename(r.path): r.usgs_id for r in U.csv_event_ids(csv, events).collect()}
+    assert got == {"a.csv": 283, "b.csv": 182}
