@@ -10,7 +10,7 @@ from cyclonespark.plans import surrogates as S
 from cyclonespark.plans.q_catalog import catalog
 from cyclonespark.plans.registry import register
 from cyclonespark.schema import FLOOD_EVENT_COLUMNS
-from cyclonespark.sources import usgs as U
+from cyclonespark.sources import surveys as U
 
 EV_COLS = ", ".join(FLOOD_EVENT_COLUMNS)
 

@@ -13,7 +13,7 @@ from cyclonespark.operators.filters import default_deck, isotach, requested_advi
 from cyclonespark.schema import HWM_COLUMNS
 from cyclonespark.sinks.atcf import format_fort22, write_track_text
 from cyclonespark.sources import catalogs as C
-from cyclonespark.sources import usgs as U
+from cyclonespark.sources import surveys as U
 from cyclonespark.sources.decks import deck_catalog, deck_path, parse_deck_lines, rad_field_check
 
 T0 = dt.datetime(2018, 9, 1)
