@@ -150,3 +150,13 @@ def test_hwm_csv_event_lookup(spark):
     csv = U.read_hwm_csv(spark, [os.path.join(d, "a.csv"), os.path.join(d, "b.csv")])
     got = {os.path.basename(r.path): r.usgs_id for r in U.csv_event_ids(csv, events).collect()}
     assert got == {"a.csv": 283, "b.csv": 182}
+
+
+def test_word_spans_and_substrings(spark):
+    from cyclonespark.operators.correlate import substrings, word_spans
+
+    row = spark.createDataFrame([("2020 TS Marco - Hurricane  Laura", "IDA")], "t string, n string").select(
+        word_spans(F.col("t")).alias("w"), substrings(F.col("n")).alias("s")).first()
+    assert "Marco" in row.w and "Hurricane  Laura" in row.w and "TS Marco - Hurricane" in row.w
+    assert "arco" not in row.w and " Laura" not in row.w
+    assert sorted(row.s) == sorted(["I", "ID", "IDA", "D", "DA", "A"])
