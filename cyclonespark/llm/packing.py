@@ -40,7 +40,7 @@ BLOCK_IDS = 4_000_000
 #: ids of one step group
 STEP_IDS = 64 * 4096
 #: remembered words and word parts of a Python worker
-MEMO = 400_000
+MEMO = 800_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
@@ -216,6 +216,13 @@ def pack_block(doc_ids: list, ids: list[bytes], first: int, tiers: tuple[int, ..
 _ENCODERS: dict[str, WordIds] = {}
 
 
+def encoder(path: str) -> WordIds:
+    """The Python worker's own encoder, with what it remembers from earlier tasks."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordIds(path)
+    return _ENCODERS[path]
+
+
 def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces of all documents, in the columns of ``SCHEMA``; sequence ids are unique and a block's are consecutive.
 
@@ -224,9 +231,7 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, d
     end = array("H", [END_ID]).tobytes()
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if tokenizer_path not in _ENCODERS:
-            _ENCODERS[tokenizer_path] = WordIds(tokenizer_path)
-        encode = _ENCODERS[tokenizer_path]
+        encode = encoder(tokenizer_path)
         # 2 ** 32 sequences a task
         first = TaskContext.get().partitionId() << 32
         names: list = []

@@ -124,6 +124,13 @@ class LongestMatch:
 _AUTOMATA: dict[str, LongestMatch] = {}
 
 
+def automaton(path: str) -> LongestMatch:
+    """The Python worker's own automaton, built once."""
+    if path not in _AUTOMATA:
+        _AUTOMATA[path] = LongestMatch(vocabulary(path))
+    return _AUTOMATA[path]
+
+
 def count_tokens(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words and n_tokens of every whole, lower-cased text.
 
@@ -131,9 +138,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, doc_id: str = "doc_id",
     """
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if vocabulary_path not in _AUTOMATA:
-            _AUTOMATA[vocabulary_path] = LongestMatch(vocabulary(vocabulary_path))
-        count = _AUTOMATA[vocabulary_path].count
+        count = automaton(vocabulary_path).count
         memo: dict[str, int] = {"": 0}
         for batch in batches:
             n_words, n_tokens = [], []
