@@ -5,10 +5,11 @@ shards; every shard gets the same number of rows, at most one apart (law ``rows`
 
 1. Rows with equal links are pre-aggregated into weighted nodes, at most 64 a link, so a
    link that holds a third of all rows is 64 nodes and never one task or one row.
-2. Nodes start on a hashed shard.  In each round a link counts its weight on every shard
-   and calls its nodes to the shard that holds most of it and still has room; each shard
-   accepts callers, by hash, as far as its quota has room.  Every step is a join or an
-   aggregation of nodes; what the driver sees is one weight a shard.
+2. Nodes start on a hashed shard.  In each round a link calls its nodes to the shard that holds most
+   of its weight, a link of more than a shard's quota to as many shards as it fills.  The flows between
+   shards are scaled until no shard gets more than its room and what leaves it (so full shards can
+   still swap), and nodes move by hash in those proportions.  Every step is a join or an
+   aggregation of nodes; what the driver sees is one weight for each pair of shards.
 3. Rows of a node follow it, up to the shard's exact quota; the rest and the unlinked rows,
    in the order of their links, fill what is left.
 
@@ -26,46 +27,58 @@ from cyclonespark.llm.common import blocks_for, checkpoint, numbered
 
 PIECES = 64
 ROUNDS = 6
-
-
-def _loads(nodes: DataFrame, shards: int) -> list[int]:
-    held = {r["shard"]: r["load"] for r in nodes.groupBy("shard").agg(F.sum("weight").alias("load")).collect()}
-    return [held.get(s, 0) for s in range(shards)]
+SLACK = 0.03
+#: rows of a link that stay side by side
+TOGETHER = 2000
 
 
 def _pick(values: list, by: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), by + 1)
 
 
+def _shares(loads: list[int], wish: dict[tuple[int, int], int], quota: float) -> list[list[float]]:
+    """Share of each wished flow between shards that may move: inflow stays within room plus outflow."""
+    n = range(len(loads))
+    share = [[1.0 if (a, b) in wish else 0.0 for b in n] for a in n]
+    for _ in range(50):
+        out = [sum(wish.get((a, b), 0) * share[a][b] for b in n) for a in n]
+        for b in n:
+            into = sum(wish.get((a, b), 0) * share[a][b] for a in n)
+            room = max(0.0, quota - loads[b] + out[b])
+            if into > room:
+                for a in n:
+                    share[a][b] *= room / into
+    return share
+
+
 def propagate(links: DataFrame, shards: int, quota: int, rounds: int = ROUNDS) -> DataFrame:
-    """``links(link, node, weight)`` to ``(link, node, weight, shard)``.
+    """``links(link, node, weight)`` to ``(link, node, weight, total, shard)``, total: the link's weight.
 
-    Every node belongs to one link.  Moves are accepted by hash, as a share of a shard's
-    callers, so no shard's callers are ever sorted in one task.
+    Every node belongs to one link.  Moves are accepted by hash, as a share of a flow, so no shard's
+    callers are ever sorted in one task.  Shards may go over the quota by ``SLACK`` meanwhile.
     """
     at = lambda *c: F.pmod(F.xxhash64(*c), F.lit(shards)).cast("int")
     nodes = checkpoint(links.withColumn("shard", at(F.lit("start"), "link", "node")))
     for turn in range(rounds):
-        room = [max(0, quota - x) for x in _loads(nodes, shards)]
         weights = nodes.groupBy("link", "shard").agg(F.sum("weight").alias("w"))
-        # most weight first; ties by a hash of link and shard, the same for every node of the link
-        best = weights.groupBy("link").agg(
-            F.max(F.when(_pick(room, F.col("shard")) > 0, F.struct("w", F.xxhash64("link", "shard").alias("h"), "shard"))).alias("best")
-        )
-        called = nodes.join(best, "link").withColumn("to", F.col("best.shard")).drop("best")
-        # a node moves if its link holds more weight there, the node itself not counted
-        here = weights.withColumnRenamed("w", "w_here")
-        there = weights.select("link", F.col("shard").alias("to"), F.col("w").alias("w_there"))
-        called = called.join(here, ["link", "shard"]).join(there, ["link", "to"], "left")
-        gain = F.col("w_there") - (F.col("w_here") - F.col("weight"))
-        overfull = _pick([int(x > quota) for x in _loads(nodes, shards)], F.col("shard")) == 1
-        called = checkpoint(called.withColumn("moves", F.coalesce((F.col("to") != F.col("shard")) & ((gain > 0) | overfull), F.lit(False))).select("link", "node", "weight", "shard", "to", "moves"))
-        asked = {r["to"]: r["n"] for r in called.filter("moves").groupBy("to").agg(F.sum("weight").alias("n")).collect()}
-        if not asked:
+        # most weight first; ties by a hash of link and shard, the same for every node of the link; one entry a shard
+        held = F.reverse(F.array_sort(F.collect_list(F.struct("w", F.xxhash64("link", "shard").alias("h"), "shard"))))
+        tops = weights.groupBy("link").agg(held.alias("held"), F.sum("w").alias("total"))
+        filled = F.greatest(F.lit(1), F.least(F.size("held"), F.ceil(F.col("total") / quota).cast("int")))
+        tops = tops.select("link", "total", F.slice(F.col("held.shard"), F.lit(1), filled).alias("tops"))
+        called = nodes.drop("total").join(tops, "link")
+        to = F.element_at("tops", F.pmod(F.xxhash64("link", "node", F.lit(turn)), F.size("tops")).cast("int") + 1)
+        called = checkpoint(called.withColumn("to", F.when(F.array_contains("tops", F.col("shard")), F.col("shard")).otherwise(to)).drop("tops"))
+        flows = called.groupBy("shard", "to").agg(F.sum("weight").alias("n")).collect()
+        loads = [sum(r["n"] for r in flows if r["shard"] == s) for s in range(shards)]
+        wish = {(r["shard"], r["to"]): r["n"] for r in flows if r["shard"] != r["to"]}
+        nodes = called.drop("to")
+        if not wish:
             break
-        share = [min(1.0, room[s] / asked[s]) if s in asked else 0.0 for s in range(shards)]
+        share = [x for row in _shares(loads, wish, quota * (1 + SLACK)) for x in row]
         draw = F.pmod(F.xxhash64(F.lit(turn), "link", "node"), F.lit(1 << 30)) / float(1 << 30)
-        nodes = checkpoint(called.select("link", "node", "weight", F.when(F.col("moves") & (draw < _pick(share, F.coalesce("to", "shard"))), F.col("to")).otherwise(F.col("shard")).alias("shard")))
+        moves = (F.col("to") != F.col("shard")) & (draw < _pick(share, F.col("shard") * shards + F.col("to")))
+        nodes = checkpoint(called.withColumn("shard", F.when(moves, F.col("to")).otherwise(F.col("shard"))).drop("to"))
     return nodes
 
 
@@ -91,17 +104,17 @@ def shard(docs: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str =
     nodes = propagate(fine.join(linked, "link"), shards, min(quotas))
 
     order = [F.col("spread"), F.col("link"), F.col("doc_id")]
-    placed = rows.join(nodes.select("link", "node", F.col("shard").alias("label")), ["link", "node"], "left").fillna(-1, ["label"])
-    # rows of one node stay side by side; nodes, not whole links, are dealt to the blocks
-    placed = placed.withColumn("spread", F.xxhash64("link", "node"))
+    placed = rows.join(nodes.select("link", "node", "total", F.col("shard").alias("label")), ["link", "node"], "left").fillna(-1, ["label"])
+    # rows of one link stay side by side; nodes, not whole links, of large ones are dealt to the blocks
+    placed = placed.withColumn("spread", F.when(F.col("total") <= TOGETHER, F.xxhash64("link")).otherwise(F.xxhash64("link", "node")))
     placed = numbered(placed, ["label"], order, F.when(F.col("label") < 0, F.xxhash64("doc_id", "link")).otherwise(F.col("spread")), blocks, "rank")
     fits = (F.col("label") >= 0) & (F.col("rank") < _pick(quotas, F.greatest("label", F.lit(0))))
-    placed = checkpoint(placed.withColumn("shard", F.when(fits, F.col("label"))).drop("rank", "label"))
+    placed = checkpoint(placed.withColumn("shard", F.when(fits, F.col("label"))).drop("rank", "label", "total"))
 
     held = {r["shard"]: r["n"] for r in placed.filter("shard IS NOT NULL").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     free = [quotas[s] - held.get(s, 0) for s in range(shards)]
     ends = [sum(free[: s + 1]) for s in range(shards)]
-    rest = numbered(placed.filter("shard IS NULL").withColumn("all", F.lit(0)), ["all"], order, F.xxhash64("link", "node"), blocks, "rank")
+    rest = numbered(placed.filter("shard IS NULL").withColumn("all", F.lit(0)), ["all"], order, F.col("spread"), blocks, "rank")
     to = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= F.col("rank")))
     rest = rest.withColumn("shard", to).drop("rank", "all")
     whole = placed.filter("shard IS NOT NULL").unionByName(rest)
