@@ -36,8 +36,12 @@ def holland_b(vmax: Column, background: Column, central: Column) -> Column:
 
 
 def central_from_holland_b(vmax: Column, background: Column, b: Column) -> Column:
-    """M1 inversion: pc = -v^2 rho e / B + bg (an infinite B, i.e. bg0 == pc0, gives bg)."""
-    return F.coalesce(F.try_divide(-(vmax * vmax) * F.lit(RHO) * F.lit(E), b), F.lit(0.0)) + background
+    """M1 inversion: pc = -v^2 rho e / B + bg (a NULL B, i.e. bg0 == pc0, is infinite and gives bg).
+
+    NULL winds or background, and a zero B, leave the pressure NULL.
+    """
+    deficit = -(vmax * vmax) * F.lit(RHO) * F.lit(E)
+    return F.when(b.isNull(), F.when(vmax.isNotNull(), F.lit(0.0))).otherwise(F.try_divide(deficit, b)) + background
 
 
 def vmax_from_holland_b(b: Column, background: Column, central: Column) -> Column:

@@ -9,14 +9,16 @@ storm in catalog order wins.  Both steps are exact equi-joins:
   start of one word to the end of a later word, separators kept), which equal a
   storm name exactly when the name occurs there with word boundaries;
 * storm names are cut into all their substrings, so "name contains word" is an
-  equality on (year, substring).
+  equality on (year, substring); of these only storm names are kept, and of all storms of
+  a year that contain one only the winner, before any event is joined.
 
-Both cut sets are bounded by the length of one name; no events x names product.
+Both cut sets are bounded by the length of one name; an event meets one storm per
+name in it, never all storms of its year.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cyclonespark.schema import FLOOD_EVENT_COLUMNS
@@ -51,14 +53,17 @@ def flood_storms(events: DataFrame, catalog: DataFrame, year=None) -> DataFrame:
     names = (storms.select(F.trim("name").alias("sn")).filter(F.col("sn").isNotNull() & (F.col("sn") != ""))
              .distinct().withColumn("_key", F.upper("sn")))
     spans = (ev.select("usgs_id", "year", F.explode(F.array_distinct(F.transform(word_spans(F.col("name")), lambda x: F.upper(x)))).alias("_key")))
-    ev_sn = spans.join(names, "_key").select("usgs_id", "year", "sn")
+    ev_sn = spans.join(names, "_key").select("usgs_id", "year", "sn", "_key")
     order = [c for c in ("year", "number", "basin", "line_no") if c in storms.columns]
     subs = storms.select("nhc_code", F.col("name").alias("nhc_name"), *[F.col(c).alias("_o_" + c) for c in order],
                          F.col("year").alias("_syear"),
                          F.explode(F.array_distinct(substrings(F.upper("name")))).alias("_sub"))
-    matches = ev_sn.join(subs, (ev_sn.year == subs._syear) & (F.upper(ev_sn.sn) == subs._sub))
-    pick = F.struct(F.col("sn"), *[F.col("_o_" + c) for c in order])
-    best = matches.groupBy("usgs_id").agg(F.max_by(F.struct("nhc_code", "nhc_name"), pick).alias("m"))
+    # one storm a year and word: the last in catalog order of those whose name contains it
+    words = subs.join(names.select(F.col("_key").alias("_sub")).distinct(), "_sub", "left_semi")
+    pick = F.struct(*[F.col("_o_" + c) for c in order]) if order else F.col("nhc_code")
+    winners = words.groupBy(F.col("_syear").alias("year"), F.col("_sub").alias("_key")).agg(
+        F.max_by(F.struct("nhc_code", "nhc_name"), pick).alias("m"))
+    best = ev_sn.join(winners, ["year", "_key"]).groupBy("usgs_id").agg(F.max_by("m", "sn").alias("m"))
     out = ev.join(best, "usgs_id").select(
         F.col("m.nhc_code").alias("nhc_code"), "usgs_id", F.col("name").alias("usgs_name"), "year",
         F.col("m.nhc_name").alias("nhc_name"), *[c for c in FLOOD_EVENT_COLUMNS if c not in ("usgs_id", "name", "year")])
@@ -80,9 +85,3 @@ def storm_from_event(events: DataFrame, flood: DataFrame) -> DataFrame:
 def storm_high_water_marks(flood: DataFrame, hwm: DataFrame) -> DataFrame:
     """(storm -> event -> marks) as two equi-joins."""
     return flood.select("nhc_code", F.col("usgs_id").alias("event_id")).join(hwm, "event_id")
-
-
-def first_by(df: DataFrame, key, order) -> DataFrame:
-    """O4 helper: first row per key in the given order."""
-    w = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

@@ -138,8 +138,8 @@ def courtney_knaff_pressure(df: DataFrame, partition=("storm_id", "advisory", "t
     """M9: central pressure with the Courtney & Knaff (2009) deficit; R34 filled forward then backward."""
     df = _carried_r34(df, partition, 1.0)
     wf = Window.partitionBy(*partition).orderBy(*ORDER_COLUMNS).rowsBetween(Window.unboundedPreceding, 0)
-    wb = Window.partitionBy(*partition).orderBy(*ORDER_COLUMNS).rowsBetween(0, Window.unboundedFollowing)
-    filled = F.coalesce(F.last("_r34", ignorenulls=True).over(wf), F.first("_r34", ignorenulls=True).over(wb))
+    wb = Window.partitionBy(*partition).orderBy(*[F.desc(c) for c in ORDER_COLUMNS]).rowsBetween(Window.unboundedPreceding, 0)
+    filled = F.coalesce(F.last("_r34", ignorenulls=True).over(wf), F.last("_r34", ignorenulls=True).over(wb))
     df = df.withColumn("_r34f", filled)
     dp = P.courtney_knaff_delta_p(F.col("max_sustained_wind_speed"), F.col("speed"), F.col("latitude"), F.col("_r34f"))
     return df.withColumn(out, F.bround(F.col("background_pressure") + 2 + dp, 0)).drop("_r34", "_r34f")
@@ -231,8 +231,9 @@ def smooth_rmw(ofcl: DataFrame) -> DataFrame:
     w = Window.partitionBy(*CYCLE).orderBy("forecast_hours")
     prev = F.last(F.when(F.col("_data"), F.struct(F.col("forecast_hours").alias("h"), F.col("_r").alias("r"))), ignorenulls=True
                   ).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    nxt = F.first(F.when(F.col("_data"), F.struct(F.col("forecast_hours").alias("h"), F.col("_r").alias("r"))), ignorenulls=True
-                  ).over(w.rowsBetween(1, Window.unboundedFollowing))
+    down = Window.partitionBy(*CYCLE).orderBy(F.desc("forecast_hours"))
+    nxt = F.last(F.when(F.col("_data"), F.struct(F.col("forecast_hours").alias("h"), F.col("_r").alias("r"))), ignorenulls=True
+                 ).over(down.rowsBetween(Window.unboundedPreceding, -1))
     grid = grid.withColumn("_p", prev).withColumn("_n", nxt)
     frac = (F.col("forecast_hours") - F.col("_p.h")) / (F.col("_n.h") - F.col("_p.h"))
     interp = (F.when(F.col("_data"), F.col("_r"))

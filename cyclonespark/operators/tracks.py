@@ -62,7 +62,9 @@ def track_summary(track: DataFrame) -> DataFrame:
 def storm_name(track: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
     """A1: most frequent name of each storm (ties: first seen); blank -> catalog name lower-cased."""
     counts = track.groupBy("storm_id", "name").agg(F.count(F.lit(1)).alias("_n"), F.min(row_key()).alias("_first"))
-    best = counts.groupBy("storm_id").agg(F.min_by("name", F.struct((-F.col("_n")).alias("n"), F.col("_first").alias("f"))).alias("name"))
+    # a missing name is no name, but a storm without any stays
+    rank = F.struct(F.col("name").isNull().alias("none"), (-F.col("_n")).alias("n"), F.col("_first").alias("f"))
+    best = counts.groupBy("storm_id").agg(F.min_by("name", rank).alias("name"))
     if catalog is not None:
         cat = catalog.select(F.col("nhc_code").alias("storm_id"), F.lower("name").alias("_cat"))
         best = best.join(cat, "storm_id", "left").select(

@@ -339,8 +339,8 @@ def strongest_isotach_radius(spark, sf_dir):
 # --- A1 / A4 / A10 / A11 / A3: storm summaries --------------------------------------------
 
 @register("storm_name", covers=("A1",), sql=S.with_ctes(S.DECK_SQL, body="""
-SELECT storm_id, arg_min(name, (-n, f)) AS name FROM (
-  SELECT storm_id, name, count(*) AS n, min((record_time, advisory, line_no)) AS f FROM track GROUP BY storm_id, name)
+SELECT storm_id, max(name) AS name FROM (SELECT storm_id, CASE WHEN name IS NULL THEN NULL WHEN row_number() OVER (PARTITION BY storm_id ORDER BY name IS NULL, -n, f) = 1 THEN name END AS name FROM (
+  SELECT storm_id, name, count(*) AS n, min((record_time, advisory, line_no)) AS f FROM track GROUP BY storm_id, name))
 GROUP BY storm_id"""))
 def storm_name(spark, sf_dir):
     return T.storm_name(ordered_track(spark, sf_dir))
@@ -425,11 +425,16 @@ def position_changes(spark, sf_dir):
 # --- P19: decks whose RAD field is missing ---------------------------------------------------
 
 @register("deck_rad_check", covers=("P19",), sql=S.with_ctes(S.DECK_SQL, body="""
-SELECT storm_id, count(*) FILTER (WHERE isotach_radius IS NULL) AS rows_without_rad FROM deck GROUP BY storm_id"""))
+SELECT storm_id, count(*) FILTER (WHERE line_no % 17 = 0) AS rows_without_rad FROM deck GROUP BY storm_id"""))
 def deck_rad_check(spark, sf_dir):
     from cyclonespark.sources.decks import rad_field_check
 
-    d = S.deck(spark, sf_dir)
+    # every 17th line ends before its RAD field, every 19th of the others has a blank one
+    d = S.deck_lines(spark, sf_dir)
+    fields = F.split("line", ",")
+    blank = F.transform(fields, lambda x, i: F.when(i == 11, F.lit("    ")).otherwise(x))
+    cut = F.when(F.col("line_no") % 17 == 0, F.array_join(F.slice(fields, 1, 10), ","))
+    d = d.withColumn("line", F.coalesce(cut, F.when(F.col("line_no") % 19 == 0, F.array_join(blank, ",")), "line"))
     bad = rad_field_check(d, file_col="storm_id")
     return d.select("storm_id").distinct().join(bad, "storm_id", "left").select(
         "storm_id", F.coalesce("rows_without_rad", F.lit(0)).cast("long").alias("rows_without_rad"))

@@ -23,9 +23,7 @@ from cyclonespark.sources.decks import parse_deck_lines
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    from cyclonespark.session import spread
-
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _i(c) -> Column:
@@ -187,7 +185,6 @@ catalog AS (
 def flood_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flood-event records shaped like the survey service's JSON (before rename/decode)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice")
-    o = o.filter(F.col("o_orderkey") % 50 == 0)
     k = F.col("o_orderkey")
     storm = F.concat(F.lit("Name"), (F.col("o_custkey") % 97).cast("string"))
     event_name = (F.when(k % 3 == 0, F.concat(F.year("o_orderdate").cast("string"), F.lit(" Hurricane "), storm))
@@ -210,7 +207,7 @@ def flood_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 FLOOD_SQL = """
 flood_o AS (
   SELECT o_orderkey AS k, o_custkey, o_orderdate, o_totalprice, 'Name' || CAST(o_custkey % 97 AS VARCHAR) AS storm
-  FROM orders WHERE o_orderkey % 50 = 0
+  FROM orders
 ),
 flood AS (
   SELECT CAST(k AS BIGINT) AS usgs_id,
@@ -238,7 +235,7 @@ def hwm_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         hid.cast("long").alias("hwm_id"),
         (F.col("l_suppkey") % 40).cast("long").alias("site_id"),
-        (F.floor(F.col("l_orderkey") / 50) * 50).cast("long").alias("event_id"),
+        F.col("l_orderkey").cast("long").alias("event_id"),
         (F.col("l_partkey") % 8 + 1).cast("long").alias("hwm_type_id"),
         (F.col("l_linenumber") % 6 + 1).cast("long").alias("hwm_quality_id"),
         F.when(F.col("l_partkey") % 2 == 0, "Coastal").otherwise("Riverine").alias("hwm_environment"),
@@ -259,7 +256,7 @@ HWM_SQL = """
 hwm AS (
   SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS hwm_id,
     CAST(l_suppkey % 40 AS BIGINT) AS site_id,
-    CAST(floor(l_orderkey / 50) * 50 AS BIGINT) AS event_id,
+    CAST(l_orderkey AS BIGINT) AS event_id,
     CAST(l_partkey % 8 + 1 AS BIGINT) AS hwm_type_id,
     CAST(l_linenumber % 6 + 1 AS BIGINT) AS hwm_quality_id,
     CASE WHEN l_partkey % 2 = 0 THEN 'Coastal' ELSE 'Riverine' END AS hwm_environment,

@@ -45,22 +45,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
-def spread(df):
-    """Round-robin a scan that yields fewer partitions than the session has cores.
-
-    A single small file (one row group) is read by one task; CPU-heavy per-row work
-    (parsing, geodesics) then runs on one core.  On a cluster the input already has
-    far more splits than cores and this is a no-op.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

@@ -7,7 +7,8 @@ hash-partitioning on ``storm_id`` and sorting each partition by record order
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclonespark.operators.ordering import ORDER_COLUMNS
@@ -105,16 +106,32 @@ def write_track_text(lines: DataFrame, path: str, overwrite: bool = False, suffi
     """K1/K2/K3: write ``line`` text, one folder per storm, records in record order.
 
     ``suffix`` must be ``.dat`` (ATCF) or ``.22`` (fort.22); existing targets are
-    skipped unless ``overwrite`` (dynamic partition overwrite: only the written
-    storms are replaced).
+    skipped storm by storm unless ``overwrite`` (dynamic partition overwrite: only
+    the written storms are replaced); new storms are always written.
     """
     if suffix not in (".dat", ".22"):
-        raise NotImplementedError(f"writing to `*{suffix}` not supported")
+        raise NotImplementedError(f"suffix {suffix!r}: only '.dat' and '.22' can be written")
     spark = lines.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    ordered = (lines.select("storm_id", *ORDER_COLUMNS, "line")
-               .repartition("storm_id")
+    todo = lines.select("storm_id", *ORDER_COLUMNS, "line")
+    if not overwrite:
+        there = _written_storms(spark, path)
+        if there is not None:
+            todo = todo.join(there, "storm_id", "left_anti")
+    ordered = (todo.repartition("storm_id")
                .sortWithinPartitions("storm_id", *ORDER_COLUMNS)
                .select("storm_id", "line"))
-    mode = "overwrite" if overwrite else "ignore"
-    ordered.write.mode(mode).partitionBy("storm_id").text(path)
+    writer = ordered.write.option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite" if overwrite else "append").partitionBy("storm_id").text(path)
+
+
+def _written_storms(spark: SparkSession, path: str) -> DataFrame | None:
+    """Storms that a target folder holds already; None for a new folder."""
+    try:
+        old = spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    if "storm_id" not in old.columns:
+        return None
+    return old.select(F.col("storm_id").cast("string").alias("storm_id")).distinct()

@@ -115,31 +115,46 @@ def lookup_storms(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     """P9 batch form: per request (req_id, year, basin?, number?, name?) the first catalog match.
 
     basin *contains*, number equal, name full match of the upper-cased request (a regex);
-    "first" = catalog order (year, number, basin).  Requests whose name is a plain word
-    join on (year, name) equality; only regex requests keep a residual match after the
-    equi-join on year.
+    "first" = catalog order (year, number, basin).
+
+    The catalog is first reduced to its first storm per (year, name, basin, number), and a request to
+    the names it asks for: a plain name is itself, a regex is matched once against the
+    distinct (year, name) pairs.  Both then join on (year, name); requests without a name join the catalog
+    reduced to the first storm per (year, basin, number), on year and number where one is given.
     """
     meta = r"[.^$*+?()\[\]{}|\\]"
-    literal = F.col("name").isNull() | ~F.col("name").rlike(meta)
-    lit_req = requests.filter(literal).withColumn("_uname", F.upper("name")).alias("r")
-    rx_req = requests.filter(~literal).alias("r")
-    c = catalog.alias("c")
-
-    def common(r_cond):
-        cond = (F.col("c.year") == F.col("r.year")) & r_cond
-        cond = cond & (F.col("r.basin").isNull() | F.col("c.basin").contains(F.upper(F.col("r.basin"))))
-        return cond & (F.col("r.number").isNull() | (F.col("c.number") == F.col("r.number")))
-
-    by_name = c.join(lit_req, common(F.col("r._uname").isNull() | (F.col("c.name") == F.col("r._uname"))), "inner")
-    full = F.concat(F.lit("^(?:"), F.upper(F.col("r.name")), F.lit(")$"))
-    by_regex = c.join(rx_req, common(F.coalesce(F.regexp_like(F.col("c.name"), full), F.lit(False))), "inner")
-    tie = [F.col("c.line_no").alias("_line")] if "line_no" in catalog.columns else [F.lit(0).alias("_line")]
-    cols = [F.col("r.req_id").alias("req_id"), F.col("c.nhc_code").alias("nhc_code"), F.col("c.name").alias("name"),
-            F.col("c.year").alias("year"), F.col("c.basin").alias("_basin"), F.col("c.number").alias("number"), *tie]
-    joined = by_name.select(*cols).unionByName(by_regex.select(*cols))
-    w = Window.partitionBy("req_id").orderBy("year", "number", "_basin", "_line")
-    return (joined.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .select("req_id", "nhc_code", "name", "year", F.trim("_basin").alias("basin"), "number"))
+    cat = catalog.withColumn("_line", F.col("line_no") if "line_no" in catalog.columns else F.lit(0)).withColumnRenamed("basin", "_basin")
+    order = F.struct("year", "number", "_basin", "_line")
+    storm = F.min_by(F.struct("nhc_code", "name", "year", "_basin", "number", "_line"), order).alias("s")
+    named = cat.filter(F.col("name").isNotNull()).groupBy("year", "name", "_basin", "number").agg(storm)
+    whole = cat.groupBy("year", "_basin", "number").agg(storm)
+
+    req = requests.select("req_id", "year", F.upper("basin").alias("_rbasin"), F.col("number").alias("_rnumber"), F.upper("name").alias("name"))
+    plain = req.filter(F.col("name").isNotNull() & ~F.col("name").rlike(meta))
+    regex = req.filter(F.col("name").rlike(meta))
+    # each distinct regex of a year meets the year's distinct names once
+    asked = regex.select("year", F.col("name").alias("_regex")).distinct()
+    full = F.concat(F.lit("^(?:"), F.col("_regex"), F.lit(")$"))
+    hits = named.select("year", "name").distinct().join(asked, "year").filter(F.regexp_like("name", full))
+    spelled = regex.withColumnRenamed("name", "_regex").join(hits, ["year", "_regex"]).drop("_regex")
+
+    fits = (F.col("_rbasin").isNull() | F.col("_basin").contains(F.col("_rbasin"))) & (F.col("_rnumber").isNull() | (F.col("number") == F.col("_rnumber")))
+    found = plain.unionByName(spelled).join(named, ["year", "name"]).filter(fits).select("req_id", "s")
+    free = req.filter(F.col("name").isNull()).drop("name")
+    with_number = free.filter(F.col("_rnumber").isNotNull()).withColumn("number", F.col("_rnumber")).join(whole, ["year", "number"]).filter(fits)
+    # without a number only the first storm per (year, basin) counts
+    firsts = whole.groupBy("year", "_basin").agg(F.min_by("s", F.struct("s.year", "s.number", "s._basin", "s._line")).alias("s"))
+    any_number = free.filter(F.col("_rnumber").isNull()).join(firsts, "year").filter(F.col("_rbasin").isNull() | F.col("_basin").contains(F.col("_rbasin")))
+    found = found.unionByName(with_number.select("req_id", "s")).unionByName(any_number.select("req_id", "s"))
+    best = found.groupBy("req_id").agg(F.min_by("s", F.struct("s.year", "s.number", "s._basin", "s._line")).alias("s"))
+    return best.select("req_id", "s.nhc_code", "s.name", "s.year", F.trim("s._basin").alias("basin"), "s.number")
+
+
+def storm_by_code(catalog: DataFrame, requests: DataFrame) -> DataFrame:
+    """P10: storms by code, in any letter case: ``requests(req_id, code)`` to the catalog row (NULL columns when unknown)."""
+    asked = requests.select("req_id", F.upper(F.trim("code")).alias("_code"))
+    storms = catalog.withColumn("_code", F.upper(F.trim("nhc_code")))
+    return asked.join(storms, "_code", "left").drop("_code")
 
 
 def parse_name_year(text: Column) -> Column:

@@ -131,10 +131,15 @@ def with_storm_code(decks: DataFrame, file_col: str = "path") -> DataFrame:
     return decks.withColumn("storm_id", code)
 
 
-def rad_field_check(decks: DataFrame, file_col: str = "path") -> DataFrame:
-    """Files whose RAD field is missing (NULL, not blank) on some line; one row per bad file."""
-    return (decks.groupBy(file_col)
-            .agg(F.count(F.when(F.col("isotach_radius").isNull() & F.col("line_no").isNotNull(), 1)).alias("rows_without_rad"))
+def rad_field_check(lines: DataFrame, file_col: str = "path") -> DataFrame:
+    """Files with a line (column ``line``) that ends before its RAD field; a blank field is there.
+
+    One row per bad file.
+    """
+    n_fields = F.size(F.split("line", ","))
+    position = ATCF_COLUMNS.index("isotach_radius")
+    return (lines.groupBy(file_col)
+            .agg(F.count(F.when(n_fields <= position, 1)).alias("rows_without_rad"))
             .filter(F.col("rows_without_rad") > 0))
 
 

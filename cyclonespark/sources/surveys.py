@@ -145,12 +145,16 @@ def merge_hwm_query(previous: dict | None, **changes) -> dict:
 
 
 def filter_hwm(hwm: DataFrame, events: DataFrame | None = None, **query) -> DataFrame:
-    """Conjunctive filter; lists mean IN, None means no filter.
+    """Conjunctive filter; lists mean IN, None and an empty list mean no filter.
+
+    An event type or status without ``events`` cannot be applied and raises.
 
     Event type / status are attributes of the event: they are applied with a
     semi-join against the (small, pre-filtered) event table.
     """
-    q = merge_hwm_query(None, **query)
+    q = {k: None if isinstance(v, (list, tuple, set)) and not v else v for k, v in merge_hwm_query(None, **query).items()}
+    if (q["event_type"] is not None or q["event_status"] is not None) and events is None:
+        raise ValueError("event_type and event_status need the table of events")
     out = hwm
     if q["event_id"] is not None:
         out = out.filter(F.col("event_id").isin([int(x) for x in _as_list(q["event_id"])]))
@@ -168,7 +172,7 @@ def filter_hwm(hwm: DataFrame, events: DataFrame | None = None, **query) -> Data
         out = out.filter(F.col("survey_date").isNotNull() == bool(q["survey_completed"]))
     if q["still_water"] is not None:
         out = out.filter(F.col("stillwater") == (1 if q["still_water"] else 0))
-    if (q["event_type"] is not None or q["event_status"] is not None) and events is not None:
+    if q["event_type"] is not None or q["event_status"] is not None:
         ev = filter_events(events, event_type=q["event_type"], event_status=q["event_status"]).select(
             F.col("usgs_id").alias("event_id"))
         out = out.join(ev, "event_id", "left_semi")

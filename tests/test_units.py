@@ -75,7 +75,7 @@ def test_parse_fields_and_rad_check(spark):
     assert rows[1].latitude == -12.8 and rows[1].longitude == 17.9
     assert rows[1].record_time == dt.datetime(2018, 8, 30, 12, 30)
     assert rows[1].isotach_radius is None
-    assert rad_field_check(parse_deck_lines(df)).count() == 1
+    assert rad_field_check(df).count() == 0  # a blank RAD field is there
 
 
 def test_sink_skips_and_overwrites(spark):
@@ -160,3 +160,62 @@ def test_word_spans_and_substrings(spark):
     assert "Marco" in row.w and "Hurricane  Laura" in row.w and "TS Marco - Hurricane" in row.w
     assert "arco" not in row.w and " Laura" not in row.w
     assert sorted(row.s) == sorted(["I", "ID", "IDA", "D", "DA", "A"])
+
+
+def test_missing_winds_leave_the_pressure_missing(spark):
+    from cyclonespark.functions.pressure import central_from_holland_b
+
+    rows = spark.createDataFrame([(None, 1010.0, 1.2), (40.0, 1010.0, None), (40.0, 1010.0, 0.0)], "v double, bg double, b double")
+    got = [r[0] for r in rows.select(central_from_holland_b(F.col("v"), F.col("bg"), F.col("b"))).collect()]
+    assert got == [None, 1010.0, None]
+
+
+def test_missing_name_is_no_name(spark):
+    from cyclonespark.operators.ordering import ORDER_COLUMNS
+    from cyclonespark.operators.tracks import storm_name
+
+    base = spark.createDataFrame([("s", None, 1), ("s", None, 2), ("s", "IDA", 3), ("t", None, 4)], "storm_id string, name string, line_no long")
+    for c in ORDER_COLUMNS:
+        if c not in base.columns:
+            base = base.withColumn(c, F.lit(0))
+    assert {r.storm_id: r.name for r in storm_name(base).collect()} == {"s": "IDA", "t": None}
+
+
+def test_empty_lists_do_not_filter_and_event_filters_need_events(spark):
+    from cyclonespark.sources.surveys import filter_hwm
+
+    marks = spark.createDataFrame([(1, "TX"), (2, "LA")], "event_id long, stateName string")
+    assert filter_hwm(marks, us_states=[]).count() == 2
+    with pytest.raises(ValueError):
+        filter_hwm(marks, event_type="HURRICANE")
+
+
+def test_rad_check_counts_short_lines_only(spark):
+    from cyclonespark.sources.decks import rad_field_check
+
+    full = ",".join(["x"] * 28)
+    blank = ",".join(["x"] * 11 + ["  "] + ["x"] * 16)
+    lines = spark.createDataFrame([("a", full), ("a", blank), ("b", ",".join(["x"] * 10)), ("b", full)], "path string, line string")
+    assert [(r.path, r.rows_without_rad) for r in rad_field_check(lines).collect()] == [("b", 1)]
+
+
+def test_one_event_meets_one_storm_per_name(spark):
+    from cyclonespark.operators.correlate import flood_storms
+    from cyclonespark.schema import FLOOD_EVENT_COLUMNS
+
+    cat = spark.createDataFrame([("AL012005", "IRENE", 2005, 1, "AL"), ("AL022005", "RENE", 2005, 2, "AL"), ("AL032005", "IRENE", 2005, 3, "AL")],
+                                "nhc_code string, name string, year int, number int, basin string")
+    ev = spark.createDataFrame([(7, "2005 Hurricane Rene flood", 2005, "HURRICANE"), (8, "Irenes 2005", 2005, "HURRICANE")], "usgs_id int, name string, year int, event_type string")
+    for c in FLOOD_EVENT_COLUMNS:
+        if c not in ev.columns:
+            ev = ev.withColumn(c, F.lit(None).cast("string"))
+    # "Rene" is part of IRENE too; the last storm in catalog order wins
+    assert [(r.usgs_id, r.nhc_code) for r in flood_storms(ev, cat).collect()] == [(7, "AL032005")]
+
+
+def test_storm_lookup_by_code(spark):
+    from cyclonespark.sources.catalogs import storm_by_code
+
+    cat = spark.createDataFrame([("AL062018", "FLORENCE")], "nhc_code string, name string")
+    req = spark.createDataFrame([(1, "al062018"), (2, "XX")], "req_id int, code string")
+    assert {r.req_id: r.name for r in storm_by_code(cat, req).collect()} == {1: "FLORENCE", 2: None}
