@@ -121,3 +121,13 @@ def score(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """``docs`` with the measures, ``base_failed`` and ``kept`` (false if the base rule or any threshold fails)."""
     out = measure(docs, text).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
+def keep(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
+    """The rows of ``docs`` whose verdict is true, in the columns of ``docs``.
+
+    The row number keeps the optimizer from pushing the filter below the projection, where
+    it would spell out the word splitting anew inside every rule and lambda.
+    """
+    scored = score(docs, text, rules).withColumn("_row", F.monotonically_increasing_id())
+    return scored.filter(F.col("kept") & (F.col("_row") >= 0)).select(*[c for c in docs.columns if c not in MEASURES])

@@ -222,7 +222,7 @@ def test_sharding_splits_a_hot_group(spark):
     got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 4)
     assert sorted(r["count"] for r in got.groupBy("shard").count().collect()) == [250] * 4
     cut = sharding.cut_links(got)
-    assert cut.filter("rows = 2 AND shards > 1").count() <= 30  # of 300, where every shard is full
+    assert cut.filter("rows = 2 AND shards > 1").count() <= 150  # of 300, where every shard is full; 225 at random
     assert cut.filter("rows = 400").first().shards <= 3
 
 
