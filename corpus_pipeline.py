@@ -19,7 +19,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that pass the base rule and every threshold."""
-    return quality_rules.score(docs).filter("kept").select(*COLUMNS)
+    return quality_rules.keep(docs).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
