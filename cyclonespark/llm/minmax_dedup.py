@@ -11,12 +11,11 @@ No bucket is ever expanded into its pairs:
 2. in each bucket every node meets the bucket's centre only: the node that meets most others over all its
    bands, such as the text that many copies were made from.  A node's centre of most shared bands, its hub, is
    confirmed first, on the full sets, then those of its other centres that are still in another component;
-3. a node x that its hub turned away still may link with another node y of that hub.  With X and Y the
-   symmetric differences to the hub, similarity 0.8 needs |X| + |Y| - 2 |X n Y| <= (|x| + |y|) / 9, so
-   X and Y share more than 4/9 of Y: such pairs are joined on the rarest elements of Y (a prefix
-   filter with positions), which turns nearly all others away unseen;
-4. nodes of one bucket with different hubs that are still in different components are compared, the bucket's fewer hubs with the
-   rest.  Sets whose sizes rule the similarity out are never compared.  So no link among the nodes of a bucket is lost.
+3. in a bucket whose nodes still lie in different components, two nodes x and y may be linked though the centre turned
+   x away.  With X and Y the symmetric differences to the centre, similarity 0.8 needs |X| + |Y| - 2 |X n Y| <= (|x| + |y|) / 9,
+   so X and Y share more than 4/9 of Y: such pairs are joined on the rarest elements of X and Y (a prefix
+   filter with positions), which turns nearly all others away unseen.  Any two nodes of a bucket have its
+   centre in common, so no link among the nodes of a bucket is lost.
 
 Components are found by alternating large-star and small-star joins.
 
@@ -158,39 +157,44 @@ def _labelled(nodes: DataFrame, found: DataFrame, name: str, out: str) -> DataFr
     return nodes.join(labels, name, "left").withColumn(out, F.coalesce(out, name))
 
 
-def _compared(pairs: DataFrame, sets: DataFrame, percent: int, differences: bool = False) -> DataFrame:
-    """``pairs(a, b)`` with ``linked``: their full sets are similar enough; with the sizes and the symmetric difference on demand."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` with ``linked`` (their full sets are similar enough), the sizes n and n_centre, and the symmetric difference."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
     both = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("s", "t")))
-    union = F.size("s") + F.size("t") - F.col("both")
-    out = both.withColumn("linked", F.lit(100) * F.col("both") >= F.lit(percent) * union)
-    more = [F.size("s").alias("n"), F.concat(F.array_except("s", "t"), F.array_except("t", "s")).alias("delta")] if differences else []
-    return out.select("a", "b", "linked", *more)
+    linked = F.lit(100) * F.col("both") >= F.lit(percent) * (F.size("s") + F.size("t") - F.col("both"))
+    delta = F.concat(F.array_except("s", "t"), F.array_except("t", "s"))
+    return both.select("a", "b", linked.alias("linked"), F.size("s").alias("n"), F.size("t").alias("n_centre"), delta.alias("delta"))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    return _compared(pairs, sets, percent).filter("linked").select("a", "b")
+def _unsettled(stars: DataFrame, found: DataFrame, with_centre: bool) -> DataFrame:
+    """Rows of ``stars(a, b)`` whose centre b has nodes of different components, itself counted or not; with the node's component."""
+    members = _labelled(stars, found, "a", "component")
+    ends = members.groupBy("b").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    if with_centre:
+        ends = _labelled(ends, found, "b", "own").withColumn("lo", F.least("lo", "own")).withColumn("hi", F.greatest("hi", "own"))
+    return members.join(ends.filter("lo <> hi").select("b"), "b", "left_semi")
 
 
-def _of_one_hub(hubs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes with one hub, in different components, the first turned away by the hub, that may be linked.
+def _of_one_centre(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes with one centre, in different components, the first turned away by the centre, that may be linked.
 
-    ``hubs(a, b, linked, n, delta)``: a node, its hub, its size and its difference to the hub.  A pair with differences
-    X, Y and s the sum of its sizes needs 2 |X n Y| >= |X| + |Y| - s (100 - percent) / (100 + percent).  In
-    the order of rarity, its first common element stands so early that enough of both differences follow.
+    ``members(a, b, linked, n, n_centre, delta, component)``: a node, its centre, their sizes and difference.  A pair with
+    differences X, Y and s the sum of its sizes needs 2 |X n Y| >= |X| + |Y| - s (100 - percent) / (100 + percent).
+    In the order of rarity, its first common element stands so early that enough of both differences follow.
     """
-    open_hubs = hubs.groupBy("b").agg(F.count(F.lit(1)).alias("members"), F.min("linked").alias("all")).filter("members > 1 AND NOT all").select("b")
-    members = _labelled(hubs.join(open_hubs, "b"), found, "a", "component")
-    items = members.select("b", "a", "n", "linked", "component", F.size("delta").alias("d"), F.explode("delta").alias("e"))
+    items = members.select("b", "a", "n", "n_centre", "linked", "component", F.size("delta").alias("d"), F.explode("delta").alias("e"))
     often = items.groupBy("b", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     # elements of one node's difference alone come first and meet nobody: only their number matters
     met = items.join(often, ["b", "e"])
     order = Window.partitionBy("b", "a").orderBy(F.desc("often"), "e")
     ranked = checkpoint(met.withColumn("follow", F.row_number().over(order)).drop("often"))  # itself and the rarest ones' successors
     gap = F.lit(100 - percent) / F.lit(100 + percent)
-    x = ranked.filter("NOT linked").select("b", "e", *[F.col(c).alias(f"x_{c}") for c in ("a", "n", "component", "d", "follow")])
-    # beside its own hub, a linked node shares more than this part of its difference
+    # |y| <= |centre| + |Y|, so x shares at least half of what it is beyond the reach of its centre
+    beyond = (F.col("d") - (F.col("n") + F.col("n_centre")) * gap) / 2
+    x = ranked.filter(~F.col("linked") & (F.col("follow") >= beyond - F.lit(1e-6)))
+    x = x.select("b", "e", *[F.col(c).alias(f"x_{c}") for c in ("a", "n", "component", "d", "follow")])
+    # beside a node that its centre turned away, any node shares more than this part of its difference
     least = F.floor(F.col("d") * (F.lit(1) - gap) / 2) + 1
     y = ranked.filter(F.col("follow") >= least).select("b", "e", *[F.col(c).alias(f"y_{c}") for c in ("a", "n", "component", "d", "follow")])
     need = (F.col("x_d") + F.col("y_d") - (F.col("x_n") + F.col("y_n")) * gap) / 2
@@ -198,20 +202,6 @@ def _of_one_hub(hubs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     return near.select(F.least("x_a", "y_a").alias("a"), F.greatest("x_a", "y_a").alias("b")).distinct()
 
 
-def _across(placed: DataFrame, able) -> DataFrame:
-    """Pairs of one bucket with different hubs and components: ``placed(band, node, n, component, hub)``.
-
-    Of such a pair at least one node has not the bucket's most frequent hub, so only those meet the whole bucket.
-    """
-    per_hub = placed.groupBy("band", "hub").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = per_hub.groupBy("band").agg(F.max_by("hub", F.struct("m", "hub")).alias("main"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi")
-    placed = placed.join(mixed.select("band", "main"), "band")
-    x = placed.filter("hub <> main").select("band", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "component", "hub")])
-    y = placed.select("band", *[F.col(c).alias(f"y_{c}") for c in ("node", "n", "component", "hub")])
-    pairs = x.join(y, "band").filter((F.col("x_component") != F.col("y_component")) & (F.col("x_hub") != F.col("y_hub")) & able(F.col("x_n"), F.col("y_n")))
-    return pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-
-
 def near_dups(docs: DataFrame, k: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, uid, n_shingles, component_id, kept."""
     ship(docs.sparkSession)
@@ -220,41 +210,32 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = PERCENT, doc_id: str =
     schema = "uid long, doc_id long, n_shingles long, node binary, bands array<long>"
     known = checkpoint(rows.mapInPandas(_describe(k), schema))
     # a node's sets are read from one of its rows
-    nodes = checkpoint(known.filter("node IS NOT NULL").groupBy("node").agg(F.min_by(F.struct("uid", "n_shingles", "bands"), "uid").alias("r")).select("node", "r.*"))
+    nodes = checkpoint(known.filter("node IS NOT NULL").groupBy("node").agg(F.min_by(F.struct("uid", "bands"), "uid").alias("r")).select("node", "r.*"))
 
-    banded = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
+    banded = nodes.select("node", F.explode("bands").alias("band"))
     sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = checkpoint(banded.join(sizes, "band"))
     met = shared.groupBy("node").agg(F.sum("size").alias("met"))
-    centre = F.max(F.struct("met", F.xxhash64("node").alias("h"), F.col("node").alias("centre"), F.col("n").alias("n_centre")))
+    centre = F.max(F.struct("met", F.xxhash64("node").alias("h"), F.col("node").alias("centre")))
     centres = shared.join(met, "node").groupBy("band").agg(centre.alias("c"))
-    buckets = checkpoint(shared.join(centres, "band").select("band", "node", "n", F.col("c.centre").alias("centre"), F.col("c.n_centre").alias("n_centre")))
-
-    def able(m, n):
-        return F.lit(100) * F.least(m, n) >= F.lit(percent) * F.greatest(m, n)
-
-    stars = buckets.filter("node <> centre").groupBy(F.col("node").alias("a"), F.col("centre").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("na"), F.first("n_centre").alias("nb"))
-    stars = checkpoint(stars)
+    stars = shared.join(centres, "band").select(F.col("node").alias("a"), F.col("c.centre").alias("b")).filter("a <> b")
+    stars = checkpoint(stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
     wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "uid")
     # rows that repeat a doc_id and its text give a node twice
     bodies = rows.join(wanted, "uid").select("node", "_body").dropDuplicates(["node"])
     sets = checkpoint(bodies.mapInPandas(_sets(k), "node binary, shingles array<long>"))
 
     hubs = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    hubs = checkpoint(_compared(hubs, sets, percent, differences=True))
-    links = hubs.filter("linked").select("a", "b")
-    found = checkpoint(components(links))
+    hubs = checkpoint(_compared(hubs, sets, percent))
+    found = checkpoint(components(hubs.filter("linked").select("a", "b")))
 
-    others = stars.filter(able(F.col("na"), F.col("nb"))).select("a", "b").join(hubs.select("a", "b"), ["a", "b"], "left_anti")
-    others = _labelled(_labelled(others, found, "a", "ca"), found, "b", "cb").filter("ca <> cb").select("a", "b")
-    links = links.union(checkpoint(_confirmed(others, sets, percent)))
+    others = _unsettled(stars.select("a", "b"), found, True).join(hubs.select("a", "b"), ["a", "b"], "left_anti")
+    met = hubs.union(checkpoint(_compared(others.select("a", "b"), sets, percent)))
+    links = met.filter("linked").select("a", "b")
     found = checkpoint(components(links))
 
-    of_hub = _of_one_hub(hubs, found, percent)
-    placed = _labelled(buckets.select("band", "node", "n"), found, "node", "component")
-    placed = placed.join(hubs.select(F.col("a").alias("node"), F.col("b").alias("hub")), "node", "left").withColumn("hub", F.coalesce("hub", "node"))
-    across = _across(checkpoint(placed), able)
-    last = checkpoint(_confirmed(of_hub.union(across).distinct(), sets, percent))
+    pairs = checkpoint(_of_one_centre(_unsettled(met, found, False), percent))
+    last = checkpoint(_compared(pairs, sets, percent).filter("linked").select("a", "b"))
     if not last.isEmpty():
         found = checkpoint(components(links.union(last)))
 
