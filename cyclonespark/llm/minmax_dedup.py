@@ -35,11 +35,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclonespark.llm.common import checkpoint, ship
+from cyclonespark.llm.common import blocks_for, checkpoint, ship
 from cyclonespark.llm.hashing import U, chunks, mix, windows, words_of
 
 BANDS, ROWS = 24, 4
 PERMUTATIONS = BANDS * ROWS // 2
+#: edges that a task of the component rounds takes, and the least number of such tasks
+EDGES_A_TASK, EDGE_TASKS = 50_000, 8
 #: similarity of a link, in percent
 PERCENT = 80
 
@@ -127,18 +129,22 @@ def components(edges: DataFrame) -> DataFrame:
 
     A round links every larger neighbour of a node to the least one around it (large star), then
     every smaller one (small star), until no edge changes; a star's centre is an aggregate joined
-    back, so a node with very many neighbours is no single task.
+    back, so a node with very many neighbours is no single task.  Partitions follow the counted edges:
+    few edges in as many partitions as the documents would cost every round hundreds of small files.
     """
 
     def star(e: DataFrame, larger: bool) -> DataFrame:
         least = e.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         e = e.join(least, "u")
         if larger:
-            return e.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        return e.select(F.col("v").alias("x"), "m").union(e.select(F.col("u").alias("x"), "m")).filter("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v")).distinct()
+            return e.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").coalesce(parts).distinct().coalesce(parts)
+        return e.select(F.col("v").alias("x"), "m").union(e.select(F.col("u").alias("x"), "m")).filter("x <> m").select(F.col("x").alias("u"), F.col("m").alias("v")).coalesce(parts).distinct().coalesce(parts)
 
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     e = checkpoint(e)
+    # no round has more edges than the first
+    parts = max(EDGE_TASKS, blocks_for(e.count(), EDGES_A_TASK))
+    e = e.coalesce(parts)
     before = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -183,20 +189,21 @@ def _of_one_centre(members: DataFrame, percent: int) -> DataFrame:
     differences X, Y and s the sum of its sizes needs 2 |X n Y| >= |X| + |Y| - s (100 - percent) / (100 + percent).
     In the order of rarity, its first common element stands so early that enough of both differences follow.
     """
-    items = members.select("b", "a", "n", "n_centre", "linked", "component", F.size("delta").alias("d"), F.explode("delta").alias("e"))
+    items = members.select("b", "a", F.explode("delta").alias("e"))
     often = items.groupBy("b", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     # elements of one node's difference alone come first and meet nobody: only their number matters
-    met = items.join(often, ["b", "e"])
     order = Window.partitionBy("b", "a").orderBy(F.desc("often"), "e")
-    ranked = checkpoint(met.withColumn("follow", F.row_number().over(order)).drop("often"))  # itself and the rarest ones' successors
+    ranked = items.join(often, ["b", "e"]).withColumn("follow", F.row_number().over(order)).drop("often")  # itself and the rarest ones' successors
+    ranked = ranked.join(members.withColumn("d", F.size("delta")).drop("delta"), ["b", "a"])
     gap = F.lit(100 - percent) / F.lit(100 + percent)
     # |y| <= |centre| + |Y|, so x shares at least half of what it is beyond the reach of its centre
     beyond = (F.col("d") - (F.col("n") + F.col("n_centre")) * gap) / 2
-    x = ranked.filter(~F.col("linked") & (F.col("follow") >= beyond - F.lit(1e-6)))
-    x = x.select("b", "e", *[F.col(c).alias(f"x_{c}") for c in ("a", "n", "component", "d", "follow")])
     # beside a node that its centre turned away, any node shares more than this part of its difference
     least = F.floor(F.col("d") * (F.lit(1) - gap) / 2) + 1
-    y = ranked.filter(F.col("follow") >= least).select("b", "e", *[F.col(c).alias(f"y_{c}") for c in ("a", "n", "component", "d", "follow")])
+    ranked = ranked.withColumn("as_x", ~F.col("linked") & (F.col("follow") >= beyond - F.lit(1e-6))).withColumn("as_y", F.col("follow") >= least)
+    ranked = checkpoint(ranked.filter("as_x OR as_y"))
+    x = ranked.filter("as_x").select("b", "e", *[F.col(c).alias(f"x_{c}") for c in ("a", "n", "component", "d", "follow")])
+    y = ranked.filter("as_y").select("b", "e", *[F.col(c).alias(f"y_{c}") for c in ("a", "n", "component", "d", "follow")])
     need = (F.col("x_d") + F.col("y_d") - (F.col("x_n") + F.col("y_n")) * gap) / 2
     near = x.join(y, ["b", "e"]).filter((F.col("x_component") != F.col("y_component")) & (F.least("x_follow", "y_follow") >= need - F.lit(1e-6)))
     return near.select(F.least("x_a", "y_a").alias("a"), F.greatest("x_a", "y_a").alias("b")).distinct()
