@@ -85,7 +85,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, terms: int
     ship(docs.sparkSession)
     marked = labels.filter("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    train = docs.select("doc_id", "text").join(sample, "doc_id").mapInPandas(_terms, "label int, terms array<int>").persist()
+    # ids and labels of max_rows rows at most go to the documents, so that no text is shuffled
+    train = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInPandas(_terms, "label int, terms array<int>").persist()
     try:
         sizes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
         neg, pos = sizes.get(0, 0), sum(n for k, n in sizes.items() if k)
