@@ -150,7 +150,7 @@ def courtney_knaff_pressure(df: DataFrame, partition=("storm_id", "advisory", "t
 # ---------------------------------------------------------------------------------------
 
 def _hour_table(ofcl: DataFrame) -> DataFrame:
-    """Per (cycle, hour): first-row attributes, up to three isotach-row mean radii, masks."""
+    """Per (cycle, hour): first-row attributes, three isotach-row mean radii, masks, number of rows."""
     wpos = Window.partitionBy(*CYCLE, "forecast_hours").orderBy(*ORDER_COLUMNS)
     rows = ofcl.withColumn("_pos", F.row_number().over(wpos)).withColumn("_mean", mean_quadrant_radius())
     return rows.groupBy(*CYCLE, "forecast_hours").agg(
@@ -166,8 +166,18 @@ def _hour_table(ofcl: DataFrame) -> DataFrame:
     )
 
 
+def crowded_hours(track: DataFrame) -> DataFrame:
+    """OFCL (cycle, hour) with more records than the regression has isotachs, and how many."""
+    hours = track.filter((F.col("advisory") == "OFCL") & (F.col("forecast_hours") >= 12)).groupBy(*CYCLE, "forecast_hours")
+    return hours.agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 3")
+
+
 def regression_rmw(ofcl: DataFrame, refs: DataFrame) -> DataFrame:
-    """Per (cycle, hour) the regression RMW for hours that have a missing RMW (M3, M4)."""
+    """Per (cycle, hour) the regression RMW for hours that have a missing RMW (M3, M4).
+
+    The regression knows three isotachs.  An hour >= 12 with more records has no estimate: its RMW stays
+    missing, it carries nothing to later hours, and ``crowded_hours`` reports it.
+    """
     hours = _hour_table(ofcl).filter(F.col("_any_missing") == 1).join(refs, ["storm_id", "track_start_time"])
     h = F.col("forecast_hours")
     vmax_bc = F.col("_vmax") - _bias(BIAS_VMAX, h)
@@ -175,14 +185,15 @@ def regression_rmw(ofcl: DataFrame, refs: DataFrame) -> DataFrame:
     bias_r = [_bias(BIAS_R34, h), _bias(BIAS_R50, h), _bias(BIAS_R64, h)]
     # radii of an hour with radii: the row means minus the positional bias (NULL keeps its place)
     own = F.slice(F.array(*[F.col(f"_m{i + 1}") - bias_r[i] for i in range(3)]), 1, F.least(F.col("_n_rows"), F.lit(3)))
-    has_radii = F.col("_n_means") > 0
+    fits = F.col("_n_rows") <= len(bias_r)
+    has_radii = (F.col("_n_means") > 0) & fits
     # carried state over the iterated hours >= 12, in appearance order
     it = hours.filter(h >= 12)
     w = Window.partitionBy(*CYCLE).orderBy("_first_key").rowsBetween(Window.unboundedPreceding, 0)
     allowed = F.when(vmax_bc > 50, 2).when(vmax_bc > 34, 1).otherwise(0)
     it = (it.withColumn("_own", own).withColumn("_has", has_radii)
           .withColumn("_grp", F.sum(F.col("_has").cast("int")).over(w))
-          .withColumn("_allowed", F.when(F.col("_has"), F.lit(3)).otherwise(allowed)))
+          .withColumn("_allowed", F.when(F.col("_has") | ~fits, F.lit(3)).otherwise(allowed)))
     wg = Window.partitionBy(*CYCLE, "_grp").orderBy("_first_key").rowsBetween(Window.unboundedPreceding, 0)
     it = (it.withColumn("_base", F.first(F.when(F.col("_has"), F.col("_own")), ignorenulls=True).over(wg))
           .withColumn("_kmin", F.min("_allowed").over(wg)))
@@ -203,7 +214,7 @@ def regression_rmw(ofcl: DataFrame, refs: DataFrame) -> DataFrame:
     est = (F.pow(rmw0, F.element_at(coef, 2)) * prod_r * F.pow(vmax_bc, F.element_at(coef, n + 3))
            * F.exp(F.element_at(coef, 1) + F.element_at(coef, n + 4) * lat_bc))
     # a lead hour without bias row has no estimate: the RMW stays missing
-    it = it.withColumn("_est", est).withColumn("_valid", _bias(BIAS_VMAX, h).isNotNull())
+    it = it.withColumn("_est", est).withColumn("_valid", _bias(BIAS_VMAX, h).isNotNull() & fits)
     early = hours.filter(h < 12).withColumn("_est", rmw0).withColumn("_valid", F.lit(True))
     cols = [*CYCLE, "forecast_hours", "_est", "_valid", "ref"]
     est_all = it.select(*cols).unionByName(early.select(*cols))

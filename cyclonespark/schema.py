@@ -158,17 +158,23 @@ HWM_TYPES = {
     5: "STAIN_LINE", 6: "MELTED_SNOW_LINE", 7: "DIRECT_OBSERVATION", 8: "OTHER",
 }
 HWM_QUALITIES = {1: "EXCELLENT", 2: "GOOD", 3: "FAIR", 4: "POOR", 5: "VERY_POOR", 6: "UNKNOWN"}
-HWM_ENVIRONMENTS = ["Coastal", "Riverine"]
+HWM_ENVIRONMENTS = {"Coastal": "COASTAL", "Riverine": "RIVERINE"}
+SENSOR_TYPES = {
+    1: "PRESSURE_TRANSDUCER", 2: "METEROLOGICAL_STATION", 3: "THERMOMETER",
+    4: "WEBCAM", 5: "RAPID_DEPLOYMENT_GAGE", 6: "RAIN_GAGE",
+}
+FILE_TYPES = {
+    1: "PHOTO", 2: "DATA", 3: "HISTORIC_CITATION", 4: "FIELD_SHEETS", 5: "LEVEL_NOTES", 6: "SITE_SKETCH",
+    7: "OTHER", 8: "LINK", 9: "NGS_DATASHEET", 10: "SKETCH", 11: "LANDOWNER_PERMISSION_FORM", 13: "HYDROGRAPH",
+}
+DEPLOYMENT_TYPES = {
+    1: "WATER_LEVEL", 2: "WAVE_HEIGHT", 3: "BAROMETRIC", 4: "TEMPERATURE", 5: "WIND_SPEED",
+    6: "HUMIDITY", 7: "AIR_TEMPERATURE", 8: "WATER_TEMPERATURE", 9: "RAPID_DEPLOYMENT",
+}
 
 # keys of one track: a storm, one advisory (technique) and one forecast cycle
 TRACK_KEY = ["storm_id", "advisory", "track_start_time"]
 
-# typed deck schema produced by sources.decks.parse_deck_lines (before ordering)
-DECK_STRING_COLUMNS = [
-    "basin", "storm_number", "advisory_number", "advisory", "development_level",
-    "isotach_quadrant_code", "subregion_code", "forecaster_initials", "name", "extra_values",
-]
-
 # --- FIXED VALUES: high-water-mark columns (JSON service layout) -------------------------
 HWM_COLUMNS = [
     "latitude", "longitude", "eventName", "hwmTypeName", "hwmQualityName", "verticalDatumName",

@@ -11,8 +11,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cyclonespark.schema import EVENT_STATUSES, EVENT_TYPES, FLOOD_EVENT_COLUMNS, HWM_COLUMNS, hwm_schema
-
+from cyclonespark.schema import (
+    DEPLOYMENT_TYPES,
+    EVENT_STATUSES,
+    EVENT_TYPES,
+    FILE_TYPES,
+    FLOOD_EVENT_COLUMNS,
+    HWM_COLUMNS,
+    HWM_ENVIRONMENTS,
+    HWM_QUALITIES,
+    HWM_TYPES,
+    SENSOR_TYPES,
+    hwm_schema,
+)
+
+# FIXED VALUES: field names of the event service
 EVENT_RENAMES = {
     "event_id": "usgs_id",
     "event_name": "name",
@@ -70,6 +83,21 @@ def _as_list(v):
     return [v] if isinstance(v, (str, int)) else list(v)
 
 
+def _ids(values, table: dict) -> list:
+    """Stored values of enumeration members given by number, stored value or name (any case); others raise."""
+    names = {name: key for key, name in table.items()}
+    out = []
+    for v in _as_list(values):
+        text = str(v).strip()
+        if text.isdigit():
+            out.append(int(text))
+        elif text.upper() in names:
+            out.append(names[text.upper()])
+        else:
+            raise ValueError(f"{v!r} is neither an id nor a name; known are {table}")
+    return out
+
+
 def filter_events(events: DataFrame, year=None, event_type=None, event_status=None) -> DataFrame:
     """Type / status / year lists (None = no filter)."""
     if event_type is not None:
@@ -163,11 +191,11 @@ def filter_hwm(hwm: DataFrame, events: DataFrame | None = None, **query) -> Data
     if q["us_counties"] is not None:
         out = out.filter(F.col("countyName").isin(_as_list(q["us_counties"])))
     if q["hwm_type"] is not None:
-        out = out.filter(F.col("hwm_type_id").isin([int(x) for x in _as_list(q["hwm_type"])]))
+        out = out.filter(F.col("hwm_type_id").isin(_ids(q["hwm_type"], HWM_TYPES)))
     if q["quality"] is not None:
-        out = out.filter(F.col("hwm_quality_id").isin([int(x) for x in _as_list(q["quality"])]))
+        out = out.filter(F.col("hwm_quality_id").isin(_ids(q["quality"], HWM_QUALITIES)))
     if q["environment"] is not None:
-        out = out.filter(F.col("hwm_environment").isin(_as_list(q["environment"])))
+        out = out.filter(F.col("hwm_environment").isin(_ids(q["environment"], HWM_ENVIRONMENTS)))
     if q["survey_completed"] is not None:
         out = out.filter(F.col("survey_date").isNotNull() == bool(q["survey_completed"]))
     if q["still_water"] is not None:
@@ -188,18 +216,20 @@ def read_json_table(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 
 
 def filter_files(files: DataFrame, event_id=None, file_type=None) -> DataFrame:
+    """Files of events and of types, each an id or an enumeration name, or a list of them."""
     if event_id is not None:
         files = files.filter(F.col("event_id").isin([int(x) for x in _as_list(event_id)]))
     if file_type is not None:
-        files = files.filter(F.col("filetype_id").isin([int(x) for x in _as_list(file_type)]))
+        files = files.filter(F.col("filetype_id").isin(_ids(file_type, FILE_TYPES)))
     return files
 
 
 def filter_sensors(sensors: DataFrame, event_id=None, sensor_type=None, deployment_type=None) -> DataFrame:
+    """Sensors of events, types and deployments, each an id or an enumeration name, or a list of them."""
     if event_id is not None:
         sensors = sensors.filter(F.col("event_id").isin([int(x) for x in _as_list(event_id)]))
     if sensor_type is not None:
-        sensors = sensors.filter(F.col("sensor_type_id").isin([int(x) for x in _as_list(sensor_type)]))
+        sensors = sensors.filter(F.col("sensor_type_id").isin(_ids(sensor_type, SENSOR_TYPES)))
     if deployment_type is not None:
-        sensors = sensors.filter(F.col("deployment_type_id").isin([int(x) for x in _as_list(deployment_type)]))
+        sensors = sensors.filter(F.col("deployment_type_id").isin(_ids(deployment_type, DEPLOYMENT_TYPES)))
     return sensors

@@ -3,7 +3,8 @@
 The real-time deck folder receives whole deck files; each micro-batch parses the
 new files and appends their records to a Parquet store partitioned by
 ``advisory`` (so later advisory filters prune directories).  Records keep
-``path`` and ``line_no``; ordering, repair and motion run as batch jobs on the
+``path`` and ``line_no``, and the micro-batch that stored them: a batch that is tried again replaces
+its own records, so nothing is stored twice.  Ordering, repair and motion run as batch jobs on the
 store.  Progress is tracked in a checkpoint under the session's shared
 ``spark.checkpoint.dir`` unless a location is given.
 """
@@ -32,7 +33,8 @@ def deck_file_stream(spark: SparkSession, folder: str, max_files_per_trigger: in
 def _append_batch(store: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         records = with_storm_code(parse_deck_lines(batch))
-        records.write.mode("append").partitionBy("advisory").parquet(store)
+        writer = records.withColumn("ingest_batch", F.lit(epoch_id)).write.option("partitionOverwriteMode", "dynamic")
+        writer.mode("overwrite").partitionBy("advisory", "ingest_batch").parquet(store)
 
     return write
 

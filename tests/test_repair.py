@@ -44,7 +44,7 @@ def _regress(cycle, rmw0):
             est = rmw0
         else:
             bv = _bias(R.BIAS_VMAX, hour)
-            if bv is None:
+            if bv is None or at.sum() > 3:  # no bias row, or more records than isotachs: no estimate
                 continue
             v = cycle.loc[at, "max_sustained_wind_speed"].iloc[0] - bv
             q = quads.loc[at].to_numpy(dtype=float)
@@ -53,7 +53,7 @@ def _regress(cycle, rmw0):
                 state = [math.nan] if keep == 0 else state[:min(keep, len(state))]
             else:
                 with np.errstate(all="ignore"):
-                    means = np.nanmean(q, axis=1)[:3]
+                    means = np.nanmean(q, axis=1)
                 biases = [R.BIAS_R34, R.BIAS_R50, R.BIAS_R64]
                 state = [m - biases[i][min(hour, 120) // 12] for i, m in enumerate(means)]
             present = [x for x in state if not math.isnan(x)]
@@ -141,3 +141,16 @@ def test_unknown_fill_method_is_rejected(spark, bad):
     track = order_track(S.deck(spark, SF))
     with pytest.raises(ValueError):
         R.correct_ofcl(track, rmw_fill=bad)
+
+
+def test_hour_with_a_fourth_record_has_no_estimate(spark):
+    track = order_track(S.deck(spark, SF)).filter("advisory IN ('OFCL', 'CARQ')")
+    hour = track.filter("advisory = 'OFCL' AND forecast_hours = 24").orderBy("storm_id", "line_no").limit(1)
+    base = hour.withColumns({"radius_of_maximum_winds": F.lit(0.0), **{q: F.lit(60.0) for q in Q}})
+    four = base.select("*", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("_i")).withColumn("line_no", F.col("line_no") + F.col("_i")).drop("_i")
+    carq = track.filter("advisory = 'CARQ'").join(hour.select("storm_id"), "storm_id", "left_semi")
+    given = carq.unionByName(four)
+    crowded = R.crowded_hours(given).collect()
+    assert [(r.forecast_hours, r.n_records) for r in crowded] == [(24, 4)]
+    out = R.correct_ofcl(given, rmw_fill="regression_penny_2023_no_smoothing").filter("advisory = 'OFCL'")
+    assert {r.radius_of_maximum_winds for r in out.collect()} <= {0.0}

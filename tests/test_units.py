@@ -219,3 +219,35 @@ def test_storm_lookup_by_code(spark):
     cat = spark.createDataFrame([("AL062018", "FLORENCE")], "nhc_code string, name string")
     req = spark.createDataFrame([(1, "al062018"), (2, "XX")], "req_id int, code string")
     assert {r.req_id: r.name for r in storm_by_code(cat, req).collect()} == {1: "FLORENCE", 2: None}
+
+
+def test_filters_take_enumeration_names(spark):
+    marks = spark.createDataFrame([(1, 1, 2, "Coastal"), (2, 3, 2, "Riverine"), (3, 1, 5, "Coastal")],
+                                  "hwm_id long, hwm_type_id long, hwm_quality_id long, hwm_environment string")
+    ids = lambda **q: sorted(r.hwm_id for r in U.filter_hwm(marks, **q).collect())
+    assert ids(hwm_type="MUD") == ids(hwm_type=1) == ids(hwm_type=["mud"]) == [1, 3]
+    assert ids(quality=["VERY_POOR", 2], environment="Coastal") == ids(quality=[5, "2"], environment="COASTAL") == [1, 3]
+    with pytest.raises(ValueError):
+        U.filter_hwm(marks, hwm_type="SNOW")
+    sensors = spark.createDataFrame([(1, 1, 2), (2, 3, 9)], "instrument_id long, sensor_type_id long, deployment_type_id long")
+    assert U.filter_sensors(sensors, sensor_type="THERMOMETER", deployment_type="RAPID_DEPLOYMENT").count() == 1
+    files = spark.createDataFrame([(1, 13), (2, 1)], "file_id long, filetype_id long")
+    assert U.filter_files(files, file_type="HYDROGRAPH").first().file_id == 1
+
+
+def test_region_mappings_with_holes(spark):
+    from cyclonespark.sources.stations import stations_in_geojson
+
+    outer = "[[0,0],[10,0],[10,10],[0,10],[0,0]]"
+    hole = "[[4,4],[6,4],[6,6],[4,6],[4,4]]"
+    island = "[[4.5,4.5],[5.5,4.5],[5.5,5.5],[4.5,5.5],[4.5,4.5]]"
+    regions = spark.createDataFrame([
+        (1, '{"type": "Polygon", "coordinates": [%s, %s]}' % (outer, hole)),
+        (2, '{"type": "MultiPolygon", "coordinates": [[%s, %s], [%s]]}' % (outer, hole, island)),
+        (3, None), (4, '{"type": "Point", "coordinates": [5, 5]}'), (5, '{"type": "Polygon", "coordinates": []}'),
+    ], "region_id int, geojson string")
+    stations = spark.createDataFrame([(1, 5.0, 5.0, "ACTIVE"), (2, 1.0, 1.0, "ACTIVE"), (3, 4.2, 4.2, "ACTIVE"), (4, 11.0, 5.0, "ACTIVE"), (5, 2.0, 2.0, "HISTORICAL")],
+                                     "nos_id long, x double, y double, status string")
+    got = sorted((r.region_id, r.nos_id) for r in stations_in_geojson(stations, regions).collect())
+    assert got == [(1, 2), (1, 5), (2, 1), (2, 2), (2, 5)]
+    assert stations_in_geojson(stations, regions, status="HISTORICAL").count() == 2
