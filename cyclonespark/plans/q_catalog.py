@@ -153,14 +153,16 @@ def storm_lookup(spark, sf_dir):
 SELECT req_id, nhc_code FROM (
   SELECT r.req_id, c.nhc_code, row_number() OVER (PARTITION BY r.req_id ORDER BY c.year, c.number, c.basin, c.line_no) AS rn
   FROM (SELECT * REPLACE (translate(name, '0123456789', 'ABCDEFGHIJ') AS name) FROM cat_body) c
-  JOIN (SELECT req_id, upper(translate(name, '0123456789', 'abcdefghij')) AS name, year FROM reqs
-        WHERE name IS NOT NULL AND name NOT LIKE '%[%') r
+  JOIN (SELECT c_custkey AS req_id, upper(translate('name' || CAST(c_custkey % 97 AS VARCHAR), '0123456789', 'abcdefghij')) AS name,
+          CAST(1992 + c_custkey % 7 AS INTEGER) AS year FROM customer) r
     ON c.year = r.year AND c.name = r.name
 ) WHERE rn = 1"""))
 def storm_by_name_year(spark, sf_dir):
-    req = lookup_requests(spark, sf_dir).filter(F.col("name").isNotNull() & ~F.col("name").contains("["))
-    # storm names of the surrogate carry digits; the "name + 4-digit year" form needs letters
-    text = F.concat(F.translate(F.lower("name"), "0123456789", "abcdefghij"), F.col("year").cast("string"))
+    # every customer asks for a storm; names of the surrogate carry digits, the "name + 4-digit year" form needs letters
+    k = F.col("c_custkey")
+    name = F.concat(F.lit("name"), (k % 97).cast("string"))
+    req = S.table(spark, sf_dir, "customer").select(k.alias("req_id"), name.alias("name"), (F.lit(1992) + k % 7).alias("year"))
+    text = F.concat(F.translate("name", "0123456789", "abcdefghij"), F.col("year").cast("string"))
     parsed = req.select("req_id", C.parse_name_year(text).alias("p")).select(
         "req_id", F.col("p.year").alias("year"), F.col("p.name").alias("name"),
         F.lit(None).cast("string").alias("basin"), F.lit(None).cast("int").alias("number"))
