@@ -21,8 +21,9 @@ Components are found by alternating large-star and small-star joins.
 
 Nulls and edge cases: a null, empty or blank text has no shingles and is linked with nothing; a text of fewer words
 than a shingle is one shingle; rows that repeat a doc_id are rows of their own (those of one
-component are all ``kept`` if they carry its least id); a null doc_id never is a
-component's id unless the component has no other (then null, and kept is false); an empty table gives no rows;
+component are all ``kept`` if they carry its least id), and texts of one doc_id that are not linked lie in components
+of their own; a null doc_id never is a component's id unless the component has no other (then null, and kept is false);
+an empty table gives no rows;
 columns but doc_id and text are ignored (``near_dups``) or kept (``dedup``).
 """
 
@@ -210,7 +211,7 @@ def _of_one_centre(members: DataFrame, percent: int) -> DataFrame:
 
 
 def near_dups(docs: DataFrame, k: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, uid, n_shingles, component_id, kept."""
+    """One row per row of ``docs``: doc_id, uid, n_shingles, component (a node of it, null without shingles), component_id, kept."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.encode(F.col(text), "utf-8").alias("_body"))
     rows = rows.withColumn("uid", F.xxhash64("doc_id", "_body"))
@@ -251,15 +252,20 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = PERCENT, doc_id: str =
     out = of_rows.join(least, "component", "left")
     # a text without shingles is its own component
     out = out.withColumn("component_id", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "uid", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return out.select("doc_id", "uid", "n_shingles", "component", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def dedup(docs: DataFrame, k: int = 5, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that of its least doc_id, once if rows repeat it."""
+    """``docs`` with one row of each component: that of its least doc_id (a null one only if there is no other), once if rows repeat it.
+
+    Rows without shingles are linked with nothing and all stay, once if rows repeat a doc_id and its text.
+    """
     found = near_dups(docs, k, percent, doc_id, text)
-    one = Window.partitionBy("component_id").orderBy("uid")
-    kept = found.filter(F.col("kept") | F.col("doc_id").isNull()).withColumn("_nth", F.row_number().over(one))
-    kept = kept.filter("_nth = 1").select("uid")
-    tagged = docs.withColumn("_uid", F.xxhash64(F.col(doc_id).cast("long"), F.encode(F.col(text), "utf-8")))
-    kept = kept.select(F.col("uid").alias("_uid"))
-    return tagged.join(kept, "_uid", "left_semi").dropDuplicates(["_uid"]).drop("_uid")
+    # a component is known by its node: ids may be null, and may stand in several components
+    alone = F.when(F.col("component").isNull(), F.col("uid")).alias("alone")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid"))
+    kept = found.groupBy("component", alone).agg(first.alias("first")).select(F.col("first.uid").alias("_uid"))
+    # rows without an id and without words are told apart by nothing, so none repeats another
+    bare = F.col(doc_id).isNull() & ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    tagged = docs.filter(~bare).withColumn("_uid", F.xxhash64(F.col(doc_id).cast("long"), F.encode(F.col(text), "utf-8")))
+    return tagged.join(kept, "_uid", "left_semi").dropDuplicates(["_uid"]).drop("_uid").unionByName(docs.filter(bare))

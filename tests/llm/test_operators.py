@@ -151,6 +151,19 @@ def test_near_dedup_keeps_one_of_each_group(docs, rows, none):
     assert minmax_dedup.dedup(none).count() == 0
 
 
+def test_near_dedup_keeps_texts_with_null_or_shared_ids(spark):
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    alone = [(None, text(30)) for _ in range(6)]
+    shared = [(7, text(30)), (7, text(30)), (7, ""), (8, " \n"), (8, " \n")]
+    pair, many = text(200), text(200)
+    rows = [*alone, *shared, (None, ""), (None, ""), (None, None), (None, pair), (None, pair + " x"), (None, many), (3, many + " y"), (5, many + " z")]
+    got = minmax_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len([r for r in got if r.text in (pair, pair + " x")]) == 1
+    want = [*alone, *shared[:-1], (None, ""), (None, ""), (None, None), (3, many + " y")]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got if r.text not in (pair, pair + " x")))) == sorted(map(repr, want))
+
+
 def test_packing(docs, rows, none):
     from tokenizers import Tokenizer
 
