@@ -4,8 +4,9 @@ Each of ``TREES`` trees gives every distinct vector a string of ``BITS`` hash bi
 sorted array of its strings, cut by leading bits into blocks that Spark spreads.  A query
 descends in every tree: how many vectors share 0, 1, 2, ... leading bits with it.  It then
 ascends in all trees together, from the longest prefixes to shorter ones, until the vectors
-below it number ``CANDIDATES``; those are scored in double precision, where they lie, and
-each block sends back only its best.
+below it number ``SHARE`` of all entries of the trees, ``CANDIDATES`` at least; those are scored in
+double precision, where they lie, and each block sends back only its best.  So the part of the vectors
+that a query is scored against, and with it the recall, does not fall as the table grows.
 
 Equal vectors are one entry with its least ids, so a vector that a third of all rows
 share costs one entry; a block of many similar vectors is cut into parts of ``BLOCK``.
@@ -21,6 +22,7 @@ candidates give fewer rows; an empty table gives no rows; extra columns are igno
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 from cyclonespark.llm.common import checkpoint, ship
 
 TREES, BITS = 12, 32
-#: vectors, counted once a tree, among which a query is answered
+#: vectors, counted once a tree, among which a query is answered: a share of them all, and at least so many
+SHARE = 0.1
 CANDIDATES = 60_000
 BLOCK = 4096
 SAMPLE = 4096
@@ -125,8 +128,11 @@ def _best(bits: int, top: int):
     return answer
 
 
-def search(vectors: DataFrame, queries: Column, k: int = TOP, vec_id: str = "vec_id", vector: str = "embedding", candidates: int = CANDIDATES, trees: int = TREES, bits: int = BITS) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: the ``k`` nearest others found for each row where ``queries`` holds."""
+def search(vectors: DataFrame, queries: Column, k: int = TOP, vec_id: str = "vec_id", vector: str = "embedding", candidates: int = CANDIDATES, trees: int = TREES, bits: int = BITS, share: float = SHARE) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: the ``k`` nearest others found for each row where ``queries`` holds.
+
+    A query ascends until ``share`` of the entries of all trees lie below it, and no fewer than ``candidates``.
+    """
     ship(vectors.sparkSession)
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & valid(F.col("v"))).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))
@@ -137,6 +143,7 @@ def search(vectors: DataFrame, queries: Column, k: int = TOP, vec_id: str = "vec
     least = rows.select("h", "v", "id").withColumn("nth", F.dense_rank().over(nth)).filter(F.col("nth") <= k + 1)
     entries = checkpoint(least.groupBy("h", "v").agg(F.min("id").alias("id"), F.array_sort(F.collect_set("id")).alias("ids")))
     n = entries.count()
+    candidates = max(candidates, math.ceil(share * n * trees))
 
     sample = rows.select("id", "v").orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     lines: dict[int, Directions] = {}

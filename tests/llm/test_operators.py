@@ -304,6 +304,20 @@ def test_forest_recall_and_edges(spark):
     assert ann_forest.search(frame.filter("vec_id < 0"), ok).count() == 0
 
 
+def test_forest_candidates_follow_the_table(spark):
+    """Recall holds on a table that has many times the least number of candidates."""
+    x = np.random.default_rng(6).normal(size=(6000, 32))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann_forest.search(frame, F.col("vec_id") % 100 == 0, candidates=600).toPandas()
+    recall = []
+    for q, found in got.groupby("query_id"):
+        s = x @ x[q]
+        s[q] = -np.inf
+        recall.append(len(set(np.argsort(-s)[:20]) & set(found["vec_id"])) / 20)
+    assert len(recall) == 60 and np.mean(recall) >= 0.9
+
+
 PAGE = (
     '<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li>Menu {i}</li></ul></nav>'
     '<div class="ad">Buy {i}</div><article><h1>Title &amp; {i}</h1><p>One  <b>bold</b>\n text{i}<p>Two&nbsp;{i}</p></article><div id="comments">me too {i}</div><footer>&copy; x</footer></body></html>'
