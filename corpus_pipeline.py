@@ -34,8 +34,8 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draw documents by their cell's calibrated probability."""
-    return mixing.mix(docs).filter("_kept").select(*COLUMNS)
+    """Draw documents by their cell's calibrated probability, so that the sample meets the targets."""
+    return mixing.mix(docs, bounded=True).filter("_kept").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

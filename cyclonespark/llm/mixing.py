@@ -5,6 +5,11 @@ sources, languages and topics; a document is then drawn with its cell's calibrat
 probability.  The cells, not the documents, go through the rounds; a document meets its
 cell in one join.
 
+``rake`` cuts p at 1 after its rounds (what op7_mixing's SQL says), so a sample drawn by it misses the targets of groups
+that would need more.  ``rake_bounded`` holds p <= 1 within the rounds, for given or tempered targets: cells at 1 stay
+there while the others are raked, to a tolerance, and the sample is made smaller only as far as the
+targets cannot be met otherwise.  Its cells, a row each, are raked on the driver.
+
 Nulls and edge cases: null sources and languages are the group '' each; a null or blank text has no
 tokens, topic 'prose', and shares its cell's probability (a cell without tokens keeps
 everything); repeated rows with one doc_id are drawn alike; an empty table gives no rows;
@@ -13,6 +18,7 @@ extra columns are kept.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +38,8 @@ KEEP = 0.7
 #: cells of up to so many rows are broadcast to the documents, more are shuffled
 BROADCAST_CELLS = 10_000
 MARGINS = ("source", "lang", "topic")
+#: a group's share of the sample may miss its target by this part of it; rounds and halvings of the bounded raking at most
+TOLERANCE, MOST_ROUNDS, HALVINGS = 0.005, 400, 10
 
 
 def topic(text: Column, topics=TOPICS) -> Column:
@@ -81,12 +89,118 @@ def rake(cells: DataFrame, rounds: int = ROUNDS, temper: float = TEMPER, keep: f
     return checkpoint(cells.select(*MARGINS, "tokens", "weight", p.alias("p")))
 
 
-def mix(docs: DataFrame, rounds: int = ROUNDS, temper: float = TEMPER, keep: float = KEEP, text: str = "text") -> DataFrame:
-    """``docs`` with _topic, _tokens, _p (probability) and _kept (drawn)."""
+def _shares(tokens: np.ndarray, groups: list[np.ndarray], named: list[dict[int, float]], temper: float) -> list[np.ndarray]:
+    """Target share of each group: the named ones, the others share the rest by tokens ** temper; groups without tokens get none."""
+    out = []
+    for group, given in zip(groups, named, strict=True):
+        have = np.bincount(group, tokens)
+        power = np.where(have > 0, have**temper, 0.0)
+        fixed = np.zeros(len(have))
+        for g, share in given.items():
+            fixed[g], power[g] = share if have[g] > 0 else 0.0, 0.0
+        rest = max(0.0, 1 - fixed.sum()) if power.sum() > 0 else 0.0
+        share = fixed + (power / power.sum() * rest if rest else 0.0)
+        if share.sum() <= 0:
+            raise ValueError("targets leave no group with tokens")
+        out.append(share / share.sum())
+    return out
+
+
+def _factor(x: np.ndarray, tokens: np.ndarray, goal: float, bound: bool) -> float:
+    """The f for which tokens * min(1, f * x) sum to ``goal`` (without ``bound``: tokens * f * x)."""
+    on = x > 0
+    x, tokens = x[on], tokens[on]
+    if not len(x):
+        return 1.0
+    if not bound:
+        return goal / (tokens @ x)
+    if goal >= tokens.sum():
+        return max(1.0, 1 / x.min())
+    order = np.argsort(-x)
+    x, tokens = x[order], tokens[order]
+    full = np.concatenate([[0.0], np.cumsum(tokens)[:-1]])  # tokens of the cells at 1, if the first so many are
+    rest = np.cumsum((tokens * x)[::-1])[::-1]
+    f = (goal - full) / rest
+    return float(f[np.argmax(f * x <= 1 + 1e-12)])
+
+
+def _raked(tokens: np.ndarray, groups: list[np.ndarray], shares: list[np.ndarray], keep: float, bound: bool) -> tuple[np.ndarray, float]:
+    """p of the cells, and the largest part of its target by which a group's share misses it."""
+    goal = tokens.sum() * keep
+    cells = [[np.flatnonzero(group == g) for g in range(len(share))] for group, share in zip(groups, shares, strict=True)]
+    x, miss = np.full(len(tokens), keep), np.inf
+    for i in range(MOST_ROUNDS):
+        for of, share in zip(cells, shares, strict=True):
+            for g, at in enumerate(of):
+                x[at] = np.minimum(x[at] * _factor(x[at], tokens[at], share[g] * goal, bound), 1e100)
+        if i % 5 == 4:
+            p = np.minimum(x, 1.0) if bound else x
+            drawn = tokens * p
+            sums = [np.bincount(group, drawn, len(share)) / drawn.sum() for group, share in zip(groups, shares, strict=True)]
+            miss = max(float(np.max(np.abs(s - share) / np.where(share > 0, share, 1.0))) for s, share in zip(sums, shares, strict=True))
+            if miss <= TOLERANCE:
+                break
+    return (np.minimum(x, 1.0) if bound else x), miss
+
+
+def calibrated(tokens: np.ndarray, groups: list[np.ndarray], shares: list[np.ndarray], keep: float) -> np.ndarray:
+    """p <= 1 of the cells, so that the drawn tokens have the target shares; as many as ``keep`` asks for, or as the targets allow.
+
+    Where no weights at all meet the targets (they contradict each other), the sample comes as near as those without a bound.
+    """
+    total = tokens.sum()
+    most = min(keep, *(float(np.min((np.bincount(g, tokens, len(s)) / np.where(s > 0, s * total, np.nan))[s > 0])) for g, s in zip(groups, shares, strict=True)))
+    p, miss = _raked(tokens, groups, shares, most, True)
+    if miss <= TOLERANCE:
+        return p
+    free, near = _raked(tokens, groups, shares, most, False)
+    near = max(TOLERANCE, near * 1.01)
+    if miss <= near:
+        return p
+    # so small a sample needs no bound
+    low, high = most / max(1.0, float(free.max())), most
+    best = free * (low / most)
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        p, miss = _raked(tokens, groups, shares, middle, True)
+        if miss <= near:
+            low, best = middle, p
+        else:
+            high = middle
+    return np.minimum(best, 1.0)
+
+
+def rake_bounded(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: float = TEMPER, keep: float = KEEP) -> DataFrame:
+    """``cells(source, lang, topic, tokens)`` with ``p`` <= 1, by which a drawn sample has the target shares of tokens.
+
+    ``targets``: by margin, the shares of named groups ('' for null); groups not named share the rest by tokens ** temper.
+    """
+    rows = cells.select(*MARGINS, "tokens").collect()
+    tokens = np.array([float(r["tokens"]) for r in rows])
+    p = np.ones(len(rows))
+    on = np.flatnonzero(tokens > 0)
+    if len(on):
+        groups, named = [], []
+        for margin in MARGINS:
+            names, group = np.unique([rows[i][margin] for i in on], return_inverse=True)
+            at = {n: g for g, n in enumerate(names.tolist())}
+            groups.append(group)
+            named.append({at[n]: float(v) for n, v in (targets or {}).get(margin, {}).items() if n in at})
+        p[on] = calibrated(tokens[on], groups, _shares(tokens[on], groups, named, temper), keep)
+    schema = "source string, lang string, topic string, tokens long, p double"
+    return cells.sparkSession.createDataFrame([(*r, float(x)) for r, x in zip(rows, p, strict=True)], schema)
+
+
+def mix(docs: DataFrame, rounds: int = ROUNDS, temper: float = TEMPER, keep: float = KEEP, text: str = "text", targets: dict[str, dict[str, float]] | None = None, bounded: bool = False) -> DataFrame:
+    """``docs`` with _topic, _tokens, _p (probability) and _kept (drawn).
+
+    With ``bounded`` or ``targets`` the cells are raked by ``rake_bounded``, else by ``rake``.
+    """
     group = {m: F.coalesce(F.col(m).cast("string"), F.lit("")) for m in ("source", "lang")}
     rows = docs.withColumn("_topic", topic(F.col(text))).withColumn("_tokens", tokens(F.col(text)))
     cells = rows.groupBy(group["source"].alias("source"), group["lang"].alias("lang"), F.col("_topic").alias("topic")).agg(F.sum("_tokens").alias("tokens"))
-    fitted = rake(cells, rounds, temper, keep).select(F.col("source").alias("_cs"), F.col("lang").alias("_cl"), F.col("topic").alias("_ct"), F.col("p").alias("_p"))
+    fitted = rake_bounded(cells, targets, temper, keep) if bounded or targets else rake(cells, rounds, temper, keep)
+    fitted = fitted.select(F.col("source").alias("_cs"), F.col("lang").alias("_cl"), F.col("topic").alias("_ct"), F.col("p").alias("_p"))
     if fitted.count() <= BROADCAST_CELLS:
         fitted = F.broadcast(fitted)
     on = (group["source"] == F.col("_cs")) & (group["lang"] == F.col("_cl")) & (F.col("_topic") == F.col("_ct"))

@@ -256,6 +256,28 @@ def test_raking_meets_the_marginals(spark):
         assert np.allclose(weight, target, rtol=1e-6)
 
 
+@pytest.mark.parametrize("targets", [None, {"source": {"hot": 0.3, "s1": 0.4}, "topic": {"legal": 0.2}}])
+def test_drawn_sample_meets_the_targets(spark, targets):
+    """Token shares of the drawn documents beside a hot source, whose small fellows would need p far above 1."""
+    rng = random.Random(8)
+    marks = ["", "", "", "", "", "", "", "Copyright", "a@b", "x | y"]
+    rows = [(i, f"{'w ' * rng.randint(5, 15)}{rng.choice(marks)}", rng.choice(["en", "en", "en", "de"]), rng.choice(["hot"] * 18 + ["s1", "s2"])) for i in range(30000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    drawn = mixing.mix(frame, targets=targets, bounded=True).select("source", "lang", F.col("_topic").alias("topic"), "_tokens", "_p", "_kept").toPandas()
+    assert drawn["_p"].between(0, 1).all() and drawn["_kept"].mean() > 0.05
+    for margin in mixing.MARGINS:
+        tokens = drawn.groupby(margin)["_tokens"].sum() ** mixing.TEMPER
+        want = dict(tokens / tokens.sum())
+        if given := (targets or {}).get(margin):
+            rest = sum(v for g, v in want.items() if g not in given)
+            want = {g: given.get(g, v / rest * (1 - sum(given.values()))) for g, v in want.items()}
+        expected = (drawn["_tokens"] * drawn["_p"]).groupby(drawn[margin]).sum()
+        got = drawn[drawn["_kept"]].groupby(margin)["_tokens"].sum()
+        for g, share in want.items():
+            assert abs(expected[g] / expected.sum() - share) <= 0.01 * share
+            assert abs(got[g] / got.sum() - share) <= 0.1 * share
+
+
 def test_toxicity_learns_and_handles_edges(spark, none):
     rng = random.Random(1)
     words = [f"word{i}" for i in range(300)]
