@@ -360,6 +360,20 @@ def test_html(spark):
     assert html_template.extract(frame.filter("page_id < 0")).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        ('<p>One <svg viewBox="0 0 1 1"/> two</p><p>Three</p>', "One two\n\nThree"),
+        ("<p>One<svg-icon></svg-icon> two</p><object-card><p>Three</p></object-card><template-x><p>Four</p></template-x>", "One two\n\nThree\n\nFour"),
+        ("<p>One</p><object data=x><p>Two</p><canvas><p>Three</p>", "One\n\nTwo\n\nThree"),
+        ("<p>One</p><object>a<object>b</object>c</object><p>Two</p><svg><title>t</title><svg>u</svg>v</svg><p>Three</p>", "One\n\nTwo\n\nThree"),
+        ('<p>One</p><script>var a = "<svg>";</script><!-- <object> --><p>Two</p><svg>t</svg><p>Three</p><style>b', "One\n\nTwo\n\nThree"),
+    ],
+)
+def test_html_skips_raw_elements_only(body, text):
+    assert html_template.main_text(f"<html><body><article>{body}", html_template._NONE) == text
+
+
 def test_pipeline_stages_follow_their_operators(spark, docs):
     import corpus_pipeline as pipeline
 
