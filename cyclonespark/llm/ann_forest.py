@@ -90,7 +90,7 @@ def _levels(base: int, bits: int):
     def count(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         """How many strings of the block share each number of leading bits, from ``base`` on, with each query."""
         if not len(queries):
-            return pd.DataFrame({"id": [], "n": []})
+            return pd.DataFrame({"id": [], "n": pd.Series([], dtype=object)})
         keys = np.sort(block["key"].to_numpy())
         q = queries["key"].to_numpy()
         n = np.zeros((len(q), bits + 1), np.int64)

@@ -338,6 +338,8 @@ def test_forest_candidates_follow_the_table(spark):
         s[q] = -np.inf
         recall.append(len(set(np.argsort(-s)[:20]) & set(found["vec_id"])) / 20)
     assert len(recall) == 60 and np.mean(recall) >= 0.9
+    one = ann_forest.search(frame, F.col("vec_id") == 5, candidates=600)  # most blocks have no query
+    assert sorted(r["rank"] for r in one.collect()) == list(range(1, 21))
 
 
 PAGE = (
