@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -14,17 +15,26 @@ SPACE = " \t\n\x0b\x0c\r"
 SPACE_RE = r"[\x20\x09-\x0D]+"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it from there.
-
-    The folder is the session's ``spark.checkpoint.dir``; one is made only where that is
-    unset, as in tests.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; one is made only where that is unset, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it from there."""
+    path = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's shared checkpoint folder and read it from there."""
+    spark = df.sparkSession
+    folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cyclonespark.llm import (
     ann_forest,
     html_template,
+    merkle_manifest,
     minmax_dedup,
     mixing,
     packing,
@@ -72,7 +73,11 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_ann_forest, op3_quality_rules, op4_packing, op5_token_counts, op6_html_template, op7_mixing, op8_sharding, op9_substring_dedup, op10_minmax_dedup)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verify(table(spark, sf_dir, "documents"), merkle_manifest.tampered())
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_ann_forest, op3_quality_rules, op4_packing, op5_token_counts, op6_html_template, op7_mixing, op8_sharding, op9_substring_dedup, op10_minmax_dedup, op12_merkle_manifest)}
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -128,9 +133,43 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 """
 
 
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a string of ASCII characters."""
+    byte = "list_reduce(range(8), lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, xor(c, b))"
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT), lambda c, b: {byte}, 4294967295), 4294967295)"
+
+
+def _merkle_sql() -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(text if c == "text" else c) for c in merkle_manifest.FIELDS) + ")"
+    cut = f"CASE WHEN {_crc32_sql('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+    up = lambda name, base: f"""{name}(key, k, pos, h) AS ({base} UNION ALL
+ SELECT key, k + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER (PARTITION BY key) AS c FROM {name}) WHERE c > 1 GROUP BY key, k, pos // 3)"""
+    near = lambda name: f"""SELECT a.key, a.k, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+ FROM {name} a JOIN {name} b ON a.key = b.key AND a.k = b.k AND a.pos // 3 = b.pos // 3 WHERE EXISTS (FROM {name} p WHERE p.key = a.key AND p.k = a.k + 1) GROUP BY ALL"""
+    fold = lambda name, base, sides: f"""{name}(r, key, k, pos, h, proof) AS ({base} UNION ALL
+ SELECT f.r, f.key, f.k + 1, f.pos // 3, sha256(s.l || f.h || s.r), f.proof || s.l || s.r FROM {name} f JOIN {sides} s ON s.key = f.key AND s.k = f.k AND s.pos = f.pos)"""
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, '-') AS key, {leaf('text')} AS leaf, {leaf('(' + cut + ')')} AS claim FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS ix FROM d),
+{up("low", "SELECT key, 0, ix, leaf FROM n")},
+sub AS (SELECT key, h, row_number() OVER (ORDER BY encode(key)) - 1 AS ix FROM (SELECT key, arg_max(h, k) AS h FROM low GROUP BY key)),
+{up("high", "SELECT '', 0, ix, h FROM sub")},
+root AS (SELECT arg_max(h, k) AS root FROM high),
+lows AS ({near("low")}), highs AS ({near("high")}),
+{fold("f", "SELECT r, key, 0, ix, claim, '' FROM n", "lows")},
+g AS (SELECT r, arg_max(key, k) AS key, arg_max(h, k) AS h, arg_max(proof, k) AS proof FROM f GROUP BY r),
+{fold("t", "SELECT g.r, '', 0, sub.ix, g.h, g.proof FROM g JOIN sub USING (key)", "highs")},
+e AS (SELECT r, arg_max(h, k) AS folded_root, arg_max(proof, k) AS proof FROM t GROUP BY r)
+SELECT n.doc_id, n.leaf, sub.h AS subroot, root.root, sha256(e.proof) AS proof_sha256, e.folded_root, e.folded_root = root.root AS verified
+FROM n JOIN e USING (r) JOIN sub USING (key) CROSS JOIN root
+"""
+
+
 ORACLES = {
     "op3_quality_rules": _quality_sql(),
     "op7_mixing": mixing.oracle_sql(),
     "op9_substring_dedup": _substring_sql(),
     "op10_minmax_dedup": _near_sql(2),
+    "op12_merkle_manifest": _merkle_sql(),
 }
