@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cyclonespark.llm import (
     ann_forest,
+    conversation_repair,
     html_template,
     merkle_manifest,
     minmax_dedup,
@@ -77,7 +78,12 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verify(table(spark, sf_dir, "documents"), merkle_manifest.tampered())
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_ann_forest, op3_quality_rules, op4_packing, op5_token_counts, op6_html_template, op7_mixing, op8_sharding, op9_substring_dedup, op10_minmax_dedup, op12_merkle_manifest)}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(rows, conversation_repair.damage(rows))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_ann_forest, op3_quality_rules, op4_packing, op5_token_counts, op6_html_template, op7_mixing, op8_sharding, op9_substring_dedup, op10_minmax_dedup, op12_merkle_manifest, op13_conversation_repair)}
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
