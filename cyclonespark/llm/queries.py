@@ -14,6 +14,7 @@ from cyclonespark.llm import (
     minmax_dedup,
     mixing,
     packing,
+    ppm_score,
     quality_rules,
     sharding,
     substring_dedup,
@@ -74,6 +75,10 @@ def op10_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.verify(table(spark, sf_dir, "documents"), merkle_manifest.tampered())
 
@@ -83,7 +88,7 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(rows, conversation_repair.damage(rows))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_ann_forest, op3_quality_rules, op4_packing, op5_token_counts, op6_html_template, op7_mixing, op8_sharding, op9_substring_dedup, op10_minmax_dedup, op12_merkle_manifest, op13_conversation_repair)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_ann_forest, op3_quality_rules, op4_packing, op5_token_counts, op6_html_template, op7_mixing, op8_sharding, op9_substring_dedup, op10_minmax_dedup, op11_ppm_score, op12_merkle_manifest, op13_conversation_repair)}
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
