@@ -37,7 +37,7 @@ import heapq
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -60,7 +60,7 @@ _END = b"\n"  # no word holds it: the end of a text, and what stands before its
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 _MESSAGE = "kind int, bucket int, part int, pid long, keys binary, counts binary"
 _TABLE = "kind int, bucket int, part int, keys binary, counts binary"
-_REPLY = "kind int, bucket int, pid long, answers binary, types long"
+_REPLY = "kind int, pid long, keys binary, answers binary, types long"
 
 
 def held_out(doc_id: Column) -> Column:
@@ -234,16 +234,22 @@ def _group_grams(texts: list[bytes], learn: list[bool], dealt: np.ndarray) -> tu
     return key[order], n[order], np.searchsorted(bucket[order], np.arange(dealt.max() + 2))
 
 
-def _group_words(texts: list[bytes], learn: list[bool], buckets: int) -> list[tuple[list[bytes], list[int]]]:
-    """For each bucket the sorted distinct words of a group and their counts in texts to learn from."""
-    asked, learnt = Counter(), Counter()
-    for text, used in zip(texts, learn, strict=True):
-        for *_, words in segments(text):
-            (learnt if used else asked).update(words)
+def _by_bucket(words: Iterable[bytes], buckets: int) -> list[list[bytes]]:
+    """Distinct words by bucket, sorted in each."""
     out = [[] for _ in range(buckets)]
-    for w in learnt.keys() | asked.keys():
+    for w in words:
         out[zlib.crc32(w) % buckets].append(w)
-    return [(sorted(ws), [learnt[w] for w in sorted(ws)]) for ws in out]
+    for ws in out:
+        ws.sort()
+    return out
+
+
+class Ids(dict):
+    """A number for each new key."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = out = len(self)
+        return out
 
 
 def _send(dealt: np.ndarray, buckets: int, fan: int):
@@ -254,9 +260,13 @@ def _send(dealt: np.ndarray, buckets: int, fan: int):
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             mine = slice(cuts[b], cuts[b + 1])
             rows.append((0, b, part, pid, _pack(key[mine]), n[mine].astype("<u4").tobytes()))
-        for b, (words, counts) in enumerate(_group_words(texts, learn, buckets)):
+        learnt, asked = Counter(), set()
+        for text, used in zip(texts, learn, strict=True):
+            for *_, words in segments(text):
+                (learnt if used else asked).update(words)
+        for b, words in enumerate(_by_bucket(asked | learnt.keys(), buckets)):
             if words:
-                rows.append((1, b, part, pid, b" ".join(words), np.asarray(counts, "<u4").tobytes()))
+                rows.append((1, b, part, pid, b" ".join(words), np.array([learnt[w] for w in words], "<u4").tobytes()))
         return pd.DataFrame(rows, columns=["kind", "bucket", "part", "pid", "keys", "counts"])
 
     return task
@@ -288,8 +298,8 @@ def _answer(pairs: np.ndarray):
 
     def task(messages: pd.DataFrame, whole: pd.DataFrame) -> pd.DataFrame:
         if not len(messages):
-            return pd.DataFrame({"kind": [], "bucket": [], "pid": [], "answers": [], "types": []})
-        kind, bucket = int(messages["kind"].iloc[0]), int(messages["bucket"].iloc[0])
+            return pd.DataFrame({c: [] for c in ("kind", "pid", "keys", "answers", "types")})
+        kind = int(messages["kind"].iloc[0])
         counts = np.frombuffer(whole["counts"].iloc[0], "<i8")
         rows, first = [], messages["pid"].min()
         if kind == 0:
@@ -302,43 +312,50 @@ def _answer(pairs: np.ndarray):
         for pid, blob in zip(messages["pid"], messages["keys"], strict=True):
             # the first group of the first part is told how many distinct words were learnt
             types = int((counts > 0).sum()) if kind and pid == first and messages["part"].iloc[0] == whole["first"].iloc[0] else 0
-            rows.append((kind, bucket, int(pid), reply(blob).tobytes(), types))
-        return pd.DataFrame(rows, columns=["kind", "bucket", "pid", "answers", "types"])
+            rows.append((kind, int(pid), blob, reply(blob).tobytes(), types))
+        return pd.DataFrame(rows, columns=["kind", "pid", "keys", "answers", "types"])
 
     return task
 
 
-def _score(dealt: np.ndarray, buckets: int):
-    def task(frame: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        texts, learn = _texts(frame), frame["_learn"].tolist()
-        if not texts:
-            return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "score", "base_sum", "tokens", "types")})
-        replies = replies.sort_values(["kind", "bucket"])
-        blobs = [[bytes(x) for x in replies["answers"][replies["kind"] == kind]] for kind in (0, 1)]
-        key, _, _ = _group_grams(texts, learn, dealt)
-        log = np.frombuffer(b"".join(blobs[0]), "<f4").astype(float)
-        order = np.argsort(key)
-        key, log = key[order], log[order]
-        words = [w for ws, _ in _group_words(texts, learn, buckets) for w in ws]
-        count = np.frombuffer(b"".join(blobs[1]), "<i8")
-        place = dict(zip(words, range(len(words)), strict=True))
-        base, known = np.log10(count + 0.5), count > 0
-        out = np.zeros((4, len(texts)))
-        for chunk in _chunked(texts):
-            distinct, back = np.unique(grams(chunk), return_inverse=True)
-            each = log[np.searchsorted(key, distinct)][back]
-            begins = np.cumsum([0] + [len(body) for _, _, body, _ in chunk])[:-1]
-            sums = np.add.reduceat(each, begins)
-            for (i, _, _, ws), s in zip(chunk, sums.tolist(), strict=True):
-                at = np.fromiter(map(place.__getitem__, ws), np.int64, len(ws))
-                out[:, i] += (len(ws), known[at].sum(), s, base[at].sum())
-        held = frame["_held"].to_numpy()
-        tokens = np.where(learn, out[0], 0).astype("int64")
-        types = np.zeros(len(texts), "int64")
-        types[0] = replies["types"].sum()
-        return pd.DataFrame({"doc_id": frame["doc_id"], "held_out": held, "n_tokens": out[0].astype("int64"), "n_known": out[1].astype("int64"), "score": out[2], "base_sum": out[3], "tokens": tokens, "types": types})
-
-    return task
+def _looked_up(asked: np.ndarray, key: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """``value`` of each gram.  Blocks of 2**16 are sorted with their places in the low bits, so each block meets the sorted keys in order."""
+    out = np.empty(len(asked))
+    for begin in range(0, len(asked), 1 << 16):
+        block = asked[begin : begin + (1 << 16)]
+        packed = np.sort(block << U(16) | np.arange(len(block), dtype=U))
+        gram = packed >> U(16)
+        at = _begins(gram)
+        found = value[np.searchsorted(key, gram[at])]
+        out[begin + (packed & U(0xFFFF)).astype(np.int64)] = np.repeat(found, np.diff(at, append=len(gram)))
+    return out
+
+
+def _score(frame: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+    texts, learn = _texts(frame), frame["_learn"].tolist()
+    (asked, answers), (asked_words, answered) = ([[bytes(x) for x in replies[c][replies["kind"] == kind]] for c in ("keys", "answers")] for kind in (0, 1))
+    key, log = np.concatenate([_unpack(x) for x in asked]), np.concatenate([np.frombuffer(x, "<f4") for x in answers]).astype(float)
+    order = np.argsort(key)
+    key, log = key[order], log[order]
+    ids, numbers, owners, sizes, out = Ids(), [], [], [], np.zeros((4, len(texts)))
+    for chunk in _chunked(texts):
+        begins = np.cumsum([0] + [len(body) for _, _, body, _ in chunk])[:-1]
+        sums = np.add.reduceat(_looked_up(grams(chunk), key, log), begins)
+        for (i, _, _, words), total in zip(chunk, sums.tolist(), strict=True):
+            out[2, i] += total
+            numbers.append(np.fromiter(map(ids.__getitem__, words), np.int32, len(words)))
+            owners.append(i)
+            sizes.append(len(words))
+    count = np.zeros(len(ids), np.int64)
+    count[[ids[w] for blob in asked_words for w in blob.split(b" ")]] = np.frombuffer(b"".join(answered), "<i8")
+    numbers, begins = np.concatenate(numbers), np.cumsum([0] + sizes)[:-1]
+    for at, each in ((0, np.ones(len(ids))), (1, count > 0), (3, np.log10(count + 0.5))):
+        np.add.at(out[at], owners, np.add.reduceat(each.astype(float)[numbers], begins))
+    held = frame["_held"].to_numpy()
+    tokens = np.where(learn, out[0], 0).astype("int64")
+    types = np.zeros(len(texts), "int64")
+    types[0] = replies["types"].sum()
+    return pd.DataFrame({"doc_id": frame["doc_id"], "held_out": held, "n_tokens": out[0].astype("int64"), "n_known": out[1].astype("int64"), "score": out[2], "base_sum": out[3], "tokens": tokens, "types": types})
 
 
 def score(docs: DataFrame, group_bytes: int = GROUP_BYTES, fan: int = FAN) -> DataFrame:
@@ -362,7 +379,7 @@ def score(docs: DataFrame, group_bytes: int = GROUP_BYTES, fan: int = FAN) -> Da
     sent = whole.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit((groups - 1) // fan))))
     replies = messages.groupBy(*by).cogroup(sent.groupBy(*by)).applyInPandas(_answer(pairs), _REPLY)
     out = bodies.cogroup(replies.groupBy("pid")).applyInPandas(
-        _score(dealt, groups), "doc_id string, held_out boolean, n_tokens long, n_known long, score double, base_sum double, tokens long, types long"
+        _score, "doc_id string, held_out boolean, n_tokens long, n_known long, score double, base_sum double, tokens long, types long"
     )
     out = stored(out)
     total = out.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
