@@ -10,9 +10,11 @@ Per OFCL cycle (storm, track_start_time):
 4. M6  background pressure from the reference;
 5. central pressure: persistent Holland B (M7), Chavas (M8) or Courtney-Knaff (M9).
 
-Everything is windows over the cycle key and small per-cycle / per-hour tables
-joined back; the regression's carried isotach radii are a windowed "last radii
-hour + running minimum of allowed length", not a sequential fold.
+Records of a cycle are reduced to one struct per lead hour, a cycle's hours (at most the
+distinct lead hours of the format, whatever the number of records) to one sorted array, and one
+``F.aggregate`` walks it, carrying the isotach radii from hour to hour; the moving mean reads the
+same array.  Records are shuffled by cycle once; the cycle's answer, a map from lead hour, is
+joined back on that partitioning.
 """
 
 from __future__ import annotations
@@ -21,14 +23,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclonespark.functions import pressure as P
-from cyclonespark.functions.timeutil import NMI_TO_M
-from cyclonespark.operators.ordering import ORDER_COLUMNS, add_hours, row_key
+from cyclonespark.functions.timeutil import NMI_TO_M, clamp
+from cyclonespark.operators.ordering import ORDER_COLUMNS, row_key
 from cyclonespark.operators.tracks import max_quadrant_radius, mean_quadrant_radius
 
 CYCLE = ["storm_id", "advisory", "track_start_time"]
 
 # --- FIXED VALUES: Penny et al. (2023) bias corrections, lead hours 0, 12, ..., 120 ---------
-BIAS_HOURS = [0, 12, 24, 36, 48, 60, 72, 84, 96, 108, 120]
 BIAS_LAT = [0.0063, 0.0301, 0.0299, 0.0085, -0.0199, -0.0354, -0.0799, -0.1240, -0.1572, -0.1982, -0.1706]
 BIAS_VMAX = [-0.8047, -0.2003, -0.2001, -0.4070, -0.6271, -0.7515, -0.3369, -0.3338, -0.3930, -0.8167, -1.4322]
 BIAS_R34 = [-2.0503, -5.5195, -7.7374, -8.4337, -8.1458, -10.2065, -12.6435, 0, 0, 0, 0]
@@ -98,20 +99,29 @@ def _coefs(n_radii: Column, hour: Column) -> Column:
 # CARQ reference record of every OFCL cycle
 # ---------------------------------------------------------------------------------------
 
-def carq_reference(track: DataFrame) -> DataFrame:
-    """One row per OFCL cycle with the reference record's rmw0, bg0, pc0, vmax0 (NULL if none)."""
+def storm_references(track: DataFrame) -> DataFrame:
+    """Per storm with a CARQ cycle: ``refs``, a map from cycle start to its reference record, and ``first_ref``."""
     ref_struct = F.struct(
         F.col("radius_of_maximum_winds").alias("rmw0"), F.col("background_pressure").alias("bg0"),
         F.col("central_pressure").alias("pc0"), F.col("max_sustained_wind_speed").alias("vmax0"))
-    carq = track.filter(F.col("advisory") == "CARQ").groupBy("storm_id", "track_start_time").agg(
+    carq = track.filter((F.col("advisory") == "CARQ") & F.col("track_start_time").isNotNull()).groupBy("storm_id", "track_start_time").agg(
         F.min_by(ref_struct, F.when(F.col("forecast_hours") == 0, row_key())).alias("ref"))
-    first = carq.groupBy("storm_id").agg(F.min_by("ref", "track_start_time").alias("first_ref"))
-    ofcl = track.filter(F.col("advisory") == "OFCL").select("storm_id", "track_start_time").distinct()
-    same = carq.withColumn("_has", F.lit(True))
-    out = (ofcl.join(same, ["storm_id", "track_start_time"], "left")
-           .join(first, "storm_id", "inner"))  # storms without CARQ are not repaired
-    ref = F.when(F.col("_has"), F.col("ref")).otherwise(F.col("first_ref"))
-    return out.select("storm_id", "track_start_time", ref.alias("ref"))
+    return carq.groupBy("storm_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("track_start_time", "ref"))).alias("refs"),
+        F.min_by("ref", "track_start_time").alias("first_ref"))
+
+
+def _reference() -> Column:
+    """The record of the cycle's own start, else of the storm's first CARQ cycle."""
+    own = F.map_contains_key("refs", F.col("track_start_time"))
+    return F.when(own, F.try_element_at("refs", F.col("track_start_time"))).otherwise(F.col("first_ref"))
+
+
+def carq_reference(track: DataFrame) -> DataFrame:
+    """One row per OFCL cycle with the reference record's rmw0, bg0, pc0, vmax0 (NULL if none)."""
+    ofcl = track.filter((F.col("advisory") == "OFCL") & F.col("track_start_time").isNotNull()).select("storm_id", "track_start_time").distinct()
+    # storms without CARQ are not repaired
+    return ofcl.join(storm_references(track), "storm_id").select("storm_id", "track_start_time", _reference().alias("ref"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -146,24 +156,36 @@ def courtney_knaff_pressure(df: DataFrame, partition=("storm_id", "advisory", "t
 
 
 # ---------------------------------------------------------------------------------------
-# M3 / M4: RMW regression per (cycle, lead hour)
+# M3 / M4: RMW regression as one walk over a cycle's lead hours
 # ---------------------------------------------------------------------------------------
 
-def _hour_table(ofcl: DataFrame) -> DataFrame:
-    """Per (cycle, hour): first-row attributes, three isotach-row mean radii, masks, number of rows."""
-    wpos = Window.partitionBy(*CYCLE, "forecast_hours").orderBy(*ORDER_COLUMNS)
-    rows = ofcl.withColumn("_pos", F.row_number().over(wpos)).withColumn("_mean", mean_quadrant_radius())
-    return rows.groupBy(*CYCLE, "forecast_hours").agg(
-        F.min(row_key()).alias("_first_key"),
-        F.max(F.col("_rmw_missing").cast("int")).alias("_any_missing"),
-        F.min_by("max_sustained_wind_speed", row_key()).alias("_vmax"),
-        F.min_by("latitude", row_key()).alias("_lat"),
-        F.count(F.lit(1)).alias("_n_rows"),
-        F.max(F.when(F.col("_pos") == 1, F.col("_mean"))).alias("_m1"),
-        F.max(F.when(F.col("_pos") == 2, F.col("_mean"))).alias("_m2"),
-        F.max(F.when(F.col("_pos") == 3, F.col("_mean"))).alias("_m3"),
-        F.count(F.col("_mean")).alias("_n_means"),
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value evaluated once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def cycle_hours(ofcl: DataFrame) -> DataFrame:
+    """Per cycle: ``hours``, a struct per lead hour in the order in which the hours first lack an RMW
+    (those that never do first), and ``origin``, the lead hour of the first record."""
+    at = Window.partitionBy(*CYCLE, "forecast_hours").orderBy(*ORDER_COLUMNS)
+    rows = ofcl.select(*CYCLE, *[c for c in ORDER_COLUMNS if c not in CYCLE], "forecast_hours", "max_sustained_wind_speed", "latitude", "radius_of_maximum_winds",
+                       "isotach_radius", "_rmw_missing", mean_quadrant_radius().alias("_mean"), max_quadrant_radius().alias("_max"))
+    rows = rows.withColumn("_pos", F.row_number().over(at))
+    nth = lambda c, i: F.max(F.when(F.col("_pos") == i, F.col(c)))
+    last = F.struct(F.col("_max").alias("maxr"), F.col("isotach_radius").alias("iso"), F.col("max_sustained_wind_speed").alias("vmax"), F.col("radius_of_maximum_winds").alias("rmw"))
+    hours = rows.groupBy(*CYCLE, "forecast_hours").agg(
+        F.min(F.when(F.col("_rmw_missing"), row_key())).alias("asks"),
+        F.min(row_key()).alias("_first"),
+        F.count(F.lit(1)).alias("n"),
+        nth("max_sustained_wind_speed", 1).alias("vmax"),
+        nth("latitude", 1).alias("lat"),
+        nth("radius_of_maximum_winds", 1).alias("rmw"),
+        F.array(*[nth("_mean", i) for i in (1, 2, 3)]).alias("means"),
+        (F.count("_mean") > 0).alias("has"),
+        F.max_by(last, row_key()).alias("last"),
     )
+    entry = F.struct("asks", F.col("forecast_hours").alias("hour"), "n", "vmax", "lat", "rmw", "means", "has", "last")
+    return hours.groupBy(*CYCLE).agg(F.sort_array(F.collect_list(entry)).alias("hours"), F.coalesce(F.min_by("forecast_hours", "_first"), F.lit(0)).alias("origin"))
 
 
 def crowded_hours(track: DataFrame) -> DataFrame:
@@ -172,117 +194,121 @@ def crowded_hours(track: DataFrame) -> DataFrame:
     return hours.agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 3")
 
 
-def regression_rmw(ofcl: DataFrame, refs: DataFrame) -> DataFrame:
-    """Per (cycle, hour) the regression RMW for hours that have a missing RMW (M3, M4).
+def _radii(carried: Column, x: Column, vmax: Column) -> Column:
+    """The radii known at an hour: its own means without their bias, else what the wind allows of those carried."""
+    own = F.transform(F.slice(x["means"], F.lit(1), x["n"].cast("int")), lambda m, i: m - F.get(F.array(*[_bias(t, x["hour"]) for t in (BIAS_R34, BIAS_R50, BIAS_R64)]), i))
+    allowed = F.when(vmax > 50, 2).when(vmax > 34, 1).otherwise(0)
+    none = F.array(F.lit(None).cast("double"))
+    return F.when(x["has"], own).when(allowed == 0, none).otherwise(F.slice(carried, F.lit(1), allowed))
+
 
-    The regression knows three isotachs.  An hour >= 12 with more records has no estimate: its RMW stays
-    missing, it carries nothing to later hours, and ``crowded_hours`` reports it.
+def _estimate(x: Column, vmax: Column, radii: Column, rmw0: Column) -> Column:
+    """rmw0 ** a1 * prod(r_i ** a_(1+i)) * vmax ** a_(n+2) * exp(a0 + a_last * lat)."""
+    def with_coefs(present):
+        def value(a):
+            n = F.size(present)
+            product = F.aggregate(F.zip_with(present, F.slice(a, F.lit(3), n), F.pow), F.lit(1.0), lambda p, r: p * r)
+            return F.pow(rmw0, F.get(a, F.lit(1))) * product * F.pow(vmax, F.get(a, n + 2)) * F.exp(F.get(a, F.lit(0)) + F.get(a, n + 3) * (x["lat"] - _bias(BIAS_LAT, x["hour"])))
+        return _let(_coefs(F.size(present), x["hour"]), value)
+    return _let(F.filter(radii, lambda r: r.isNotNull() & ~F.isnan(r)), with_coefs)
+
+
+def regression_rmw(hours: Column, rmw0: Column) -> Column:
+    """A map from lead hour to the regression RMW of the hours that lack one (M3, M4).
+
+    The regression knows three isotachs.  An hour >= 12 with more records, or without a row in the bias
+    table, has no estimate: its RMW stays missing and it carries nothing to later hours; ``crowded_hours`` lists the former.
     """
-    hours = _hour_table(ofcl).filter(F.col("_any_missing") == 1).join(refs, ["storm_id", "track_start_time"])
-    h = F.col("forecast_hours")
-    vmax_bc = F.col("_vmax") - _bias(BIAS_VMAX, h)
-    lat_bc = F.col("_lat") - _bias(BIAS_LAT, h)
-    bias_r = [_bias(BIAS_R34, h), _bias(BIAS_R50, h), _bias(BIAS_R64, h)]
-    # radii of an hour with radii: the row means minus the positional bias (NULL keeps its place)
-    own = F.slice(F.array(*[F.col(f"_m{i + 1}") - bias_r[i] for i in range(3)]), 1, F.least(F.col("_n_rows"), F.lit(3)))
-    fits = F.col("_n_rows") <= len(bias_r)
-    has_radii = (F.col("_n_means") > 0) & fits
-    # carried state over the iterated hours >= 12, in appearance order
-    it = hours.filter(h >= 12)
-    w = Window.partitionBy(*CYCLE).orderBy("_first_key").rowsBetween(Window.unboundedPreceding, 0)
-    allowed = F.when(vmax_bc > 50, 2).when(vmax_bc > 34, 1).otherwise(0)
-    it = (it.withColumn("_own", own).withColumn("_has", has_radii)
-          .withColumn("_grp", F.sum(F.col("_has").cast("int")).over(w))
-          .withColumn("_allowed", F.when(F.col("_has") | ~fits, F.lit(3)).otherwise(allowed)))
-    wg = Window.partitionBy(*CYCLE, "_grp").orderBy("_first_key").rowsBetween(Window.unboundedPreceding, 0)
-    it = (it.withColumn("_base", F.first(F.when(F.col("_has"), F.col("_own")), ignorenulls=True).over(wg))
-          .withColumn("_kmin", F.min("_allowed").over(wg)))
-    nan_state = F.array(F.lit(None).cast("double"))
-    carried = F.when((F.col("_grp") == 0) | (F.col("_kmin") == 0) | F.col("_base").isNull(), nan_state).otherwise(
-        F.slice(F.col("_base"), 1, F.least(F.col("_kmin"), F.size(F.col("_base")))))
-    rads = F.when(F.col("_has"), F.col("_own")).otherwise(carried)
-    it = it.withColumn("_rads", rads)
-    present = F.filter(F.col("_rads"), lambda x: x.isNotNull() & ~F.isnan(x))
-    it = it.withColumn("_present", present).withColumn("_coef", _coefs(F.size(present), h))
-    n = F.size(F.col("_present"))
-    # rmw = rmw0^a1 * prod(r_i^a_{1+i}) * vmax^a_{n+2} * exp(a0 + a_last * lat)
-    prod_r = F.aggregate(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                         F.lit(1.0),
-                         lambda acc, i: F.when(i <= n, acc * F.pow(F.element_at(F.col("_present"), i), F.element_at(F.col("_coef"), i + 2))).otherwise(acc))
-    coef = F.col("_coef")
-    rmw0 = F.col("ref.rmw0")
-    est = (F.pow(rmw0, F.element_at(coef, 2)) * prod_r * F.pow(vmax_bc, F.element_at(coef, n + 3))
-           * F.exp(F.element_at(coef, 1) + F.element_at(coef, n + 4) * lat_bc))
-    # a lead hour without bias row has no estimate: the RMW stays missing
-    it = it.withColumn("_est", est).withColumn("_valid", _bias(BIAS_VMAX, h).isNotNull() & fits)
-    early = hours.filter(h < 12).withColumn("_est", rmw0).withColumn("_valid", F.lit(True))
-    cols = [*CYCLE, "forecast_hours", "_est", "_valid", "ref"]
-    est_all = it.select(*cols).unionByName(early.select(*cols))
-    upper = F.greatest(F.lit(120.0), F.col("ref.rmw0"))
-    value = F.col("_est")
-    # clamp(x, 5, upper); an undefined estimate (NaN) lands on the upper bound, as in the original
-    clamped = (F.when(~F.col("_valid"), F.lit(None).cast("double"))
-               .when(value.isNull() | F.isnan(value), upper)
-               .otherwise(F.greatest(F.least(value, upper), F.lit(5.0))))
-    return est_all.select(*CYCLE, "forecast_hours", clamped.alias("_rmw_reg"))
+    upper = F.greatest(F.lit(120.0), rmw0)
+    # an undefined estimate lands on the upper bound, as in the original
+    bounded = lambda v: F.when(v.isNull() | F.isnan(v), upper).otherwise(clamp(v, 5.0, upper))
+    entry = lambda x, v: F.struct(x["hour"].alias("hour"), v.alias("rmw"))
+    asked = F.filter(hours, lambda x: x["asks"].isNotNull() & x["hour"].isNotNull())
+    early = F.transform(F.filter(asked, lambda x: x["hour"] < 12), lambda x: entry(x, bounded(rmw0)))
+    later = F.filter(asked, lambda x: (x["hour"] >= 12) & (x["n"] <= 3) & _bias(BIAS_VMAX, x["hour"]).isNotNull())
+
+    def step(state, x):
+        return _let(x["vmax"] - _bias(BIAS_VMAX, x["hour"]), lambda vmax: _let(_radii(state["radii"], x, vmax), lambda radii: F.struct(
+            radii.alias("radii"), F.concat(state["done"], F.array(entry(x, bounded(_estimate(x, vmax, radii, rmw0))))).alias("done"))))
+
+    start = F.struct(F.array(F.lit(None).cast("double")).alias("radii"), F.array().cast("array<struct<hour:int,rmw:double>>").alias("done"))
+    walked = F.aggregate(later, start, step, lambda state: state["done"])
+    return F.map_from_entries(F.concat(early, walked))
 
 
 # ---------------------------------------------------------------------------------------
 # M5: moving mean over lead hours (W10) and write-back bound
 # ---------------------------------------------------------------------------------------
 
-def smooth_rmw(ofcl: DataFrame) -> DataFrame:
-    """Centred 24 h mean of RMW over the cycle's lead hours plus 60/84/108 (linear interpolation)."""
-    first = ofcl.groupBy(*CYCLE, "forecast_hours").agg(F.min_by("radius_of_maximum_winds", row_key()).alias("_r"))
-    cycles = ofcl.groupBy(*CYCLE).agg(F.min_by("datetime", row_key()).alias("_origin"))
-    extra = cycles.select(*CYCLE, F.explode(F.array(*[F.lit(h) for h in SMOOTHING_EXTRA_HOURS])).alias("forecast_hours"))
-    grid = (first.select(*CYCLE, "forecast_hours", "_r", F.lit(True).alias("_data"))
-            .unionByName(extra.withColumn("_r", F.lit(None).cast("double")).withColumn("_data", F.lit(False)))
-            .groupBy(*CYCLE, "forecast_hours").agg(F.max("_data").alias("_data"), F.max("_r").alias("_r")))
-    w = Window.partitionBy(*CYCLE).orderBy("forecast_hours")
-    prev = F.last(F.when(F.col("_data"), F.struct(F.col("forecast_hours").alias("h"), F.col("_r").alias("r"))), ignorenulls=True
-                  ).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    down = Window.partitionBy(*CYCLE).orderBy(F.desc("forecast_hours"))
-    nxt = F.last(F.when(F.col("_data"), F.struct(F.col("forecast_hours").alias("h"), F.col("_r").alias("r"))), ignorenulls=True
-                 ).over(down.rowsBetween(Window.unboundedPreceding, -1))
-    grid = grid.withColumn("_p", prev).withColumn("_n", nxt)
-    frac = (F.col("forecast_hours") - F.col("_p.h")) / (F.col("_n.h") - F.col("_p.h"))
-    interp = (F.when(F.col("_data"), F.col("_r"))
-              .when(F.col("_p").isNull(), F.col("_n.r"))
-              .when(F.col("_n").isNull(), F.col("_p.r"))
-              .otherwise(F.col("_p.r") + frac * (F.col("_n.r") - F.col("_p.r"))))
-    grid = grid.withColumn("_ri", interp)
-    smooth = F.avg("_ri").over(w.rangeBetween(-12, 12))
-    grid = grid.withColumn("_smooth", smooth).join(cycles, CYCLE)
-    return grid.select(*CYCLE, add_hours(F.col("_origin"), F.col("forecast_hours")).alias("datetime"), "_smooth")
-
-
-def apply_smoothing(ofcl: DataFrame) -> DataFrame:
-    """Write the smoothed RMW back per valid time with the isotach bound."""
-    sm = smooth_rmw(ofcl)
-    at_time = ofcl.groupBy(*CYCLE, "datetime").agg(
-        F.min_by("forecast_hours", row_key()).alias("_tau0"),
-        F.max_by(F.struct(max_quadrant_radius().alias("maxr"), F.col("isotach_radius").alias("iso"),
-                          F.col("max_sustained_wind_speed").alias("vmax"),
-                          F.col("radius_of_maximum_winds").alias("rmw")), row_key()).alias("_last"))
-    upd = sm.join(at_time, [*CYCLE, "datetime"]).filter(F.col("_tau0") != 0)
-    maxr = F.col("_last.maxr")
-    set_smooth = (F.col("_smooth") < maxr) | maxr.isNull()
-    last_value = F.when(set_smooth, F.col("_smooth")).otherwise(F.col("_last.rmw"))
-    bound = F.coalesce(last_value > maxr, F.lit(False))
-    upd = upd.select(*CYCLE, "datetime", set_smooth.alias("_set"), F.col("_smooth"), bound.alias("_bound"),
-                     F.try_divide(maxr * F.col("_last.iso"), F.col("_last.vmax")).alias("_bounded"))
-    out = ofcl.join(upd, [*CYCLE, "datetime"], "left")
-    rmw = (F.when(F.coalesce(F.col("_bound"), F.lit(False)), F.col("_bounded"))
-           .when(F.coalesce(F.col("_set"), F.lit(False)), F.col("_smooth"))
-           .otherwise(F.col("radius_of_maximum_winds")))
-    return out.withColumn("radius_of_maximum_winds", rmw).drop("_set", "_smooth", "_bound", "_bounded")
+def hour_points(hours: Column, estimates: Column) -> Column:
+    """(h, r) of each lead hour's first record after the regression, by hour."""
+    known = F.filter(hours, lambda x: x["hour"].isNotNull())
+    return F.sort_array(F.transform(known, lambda x: F.struct(x["hour"].alias("h"), F.coalesce(F.try_element_at(estimates, x["hour"]), x["rmw"]).alias("r"))))
+
+
+def hour_grid(points: Column) -> Column:
+    """(h, r) of the lead hours and 60/84/108, the latter interpolated linearly (constant beyond the ends)."""
+    grid = F.array_sort(F.array_distinct(F.concat(F.transform(points, lambda p: p["h"]), F.array(*[F.lit(h) for h in SMOOTHING_EXTRA_HOURS]))))
+
+    def between(p, n, g):
+        share = (g - p["h"]) / (n["h"] - p["h"])
+        return F.when(p.isNull(), n["r"]).when(n.isNull() | (p["h"] == g), p["r"]).otherwise(p["r"] + share * (n["r"] - p["r"]))
+
+    def at(g):
+        below, above = F.filter(points, lambda p: p["h"] <= g), F.filter(points, lambda p: p["h"] >= g)
+        ends = F.struct(F.try_element_at(below, F.lit(-1)).alias("p"), F.get(above, F.lit(0)).alias("n"))
+        return F.struct(g.alias("h"), _let(ends, lambda e: between(e["p"], e["n"], g)).alias("r"))
+
+    return F.transform(grid, at)
+
+
+def smoothed_rmw(hours: Column, estimates: Column, grid: Column, origin: Column) -> Column:
+    """A map from lead hour (not 0) to what W11 makes of its records: the 24 h mean where it is below the
+    largest radius of the hour's last record or that is missing; above it, that radius scaled by isotach / wind.
+
+    The grid counts from the cycle's first record, so a grid hour g is the lead hour ``origin + g``.
+    """
+    def entry(x):
+        g = x["hour"] - origin
+        near = F.transform(F.filter(grid, lambda v: (F.abs(v["h"] - g) <= 12) & v["r"].isNotNull()), lambda v: v["r"])
+        mean = F.when(F.size(near) > 0, F.aggregate(near, F.lit(0.0), lambda a, r: a + r) / F.size(near))
+
+        def bound(s):
+            maxr, last = x["last"]["maxr"], F.coalesce(F.try_element_at(estimates, x["hour"]), x["last"]["rmw"])
+            return _let((s["mean"] < maxr) | maxr.isNull(), lambda use: F.struct(
+                F.coalesce(use, F.lit(False)).alias("use"), s["mean"].alias("mean"),
+                F.coalesce(F.when(use, s["mean"]).otherwise(last) > maxr, F.lit(False)).alias("over"),
+                F.try_divide(maxr * x["last"]["iso"], x["last"]["vmax"]).alias("bounded")))
+
+        return F.struct(x["hour"].alias("hour"), _let(F.struct(mean.alias("mean")), bound).alias("fix"))
+
+    written = F.filter(hours, lambda x: (x["hour"] != 0) & F.exists(grid, lambda v: v["h"] == x["hour"] - origin))
+    return F.map_from_entries(F.transform(written, entry))
 
 
 # ---------------------------------------------------------------------------------------
 # Whole repair
 # ---------------------------------------------------------------------------------------
 
+RMW_FILLS = ("none", None, "persistent", "regression_penny_2023", "regression_penny_2023_with_smoothing", "regression_penny_2023_no_smoothing")
+
+
+def _with_reference(ofcl: DataFrame, track: DataFrame, rmw_fill: str | None) -> DataFrame:
+    """OFCL records with ``ref``, ``_repaired`` (the storm has CARQ) and, for the regressions, ``_estimate`` and ``_fix``."""
+    regression = str(rmw_fill).startswith("regression")
+    cycles = cycle_hours(ofcl) if regression else ofcl.select(*CYCLE).distinct()
+    cycles = cycles.join(storm_references(track), "storm_id").withColumn("ref", _reference()).drop("refs", "first_ref")
+    found = ["ref", F.lit(True).alias("_repaired")]
+    if regression:
+        cycles = cycles.withColumn("_estimates", regression_rmw(F.col("hours"), F.col("ref.rmw0")))
+        found.append("_estimates")
+    if regression and rmw_fill != "regression_penny_2023_no_smoothing":
+        cycles = cycles.withColumn("_points", hour_points(F.col("hours"), F.col("_estimates"))).withColumn("_grid", hour_grid(F.col("_points")))
+        cycles = cycles.withColumn("_fixes", smoothed_rmw(F.col("hours"), F.col("_estimates"), F.col("_grid"), F.col("origin")))
+        found.append("_fixes")
+    return ofcl.join(cycles.select(*CYCLE, *found), CYCLE, "left").withColumn("_repaired", F.coalesce("_repaired", F.lit(False)))
+
+
 def correct_ofcl(track: DataFrame, rmw_fill: str = "regression_penny_2023",
                  pc_fill: str = "persistent_holland_b") -> DataFrame:
     """Repair OFCL cycles from the CARQ reference; other advisories pass through unchanged.
@@ -291,31 +317,24 @@ def correct_ofcl(track: DataFrame, rmw_fill: str = "regression_penny_2023",
     regression_penny_2023_no_smoothing.  ``pc_fill``: none | persistent_holland_b |
     regression_chavas_2025 | regression_courtney_knaff_2009.
     """
-    refs = carq_reference(track)
-    ofcl = track.filter(F.col("advisory") == "OFCL").join(refs, ["storm_id", "track_start_time"], "inner")
-    others = track.join(refs.select("storm_id", "track_start_time").withColumn("_ofcl", F.lit(True)),
-                        ["storm_id", "track_start_time"], "left")
-    others = others.filter(~((F.col("advisory") == "OFCL") & F.coalesce(F.col("_ofcl"), F.lit(False)))).drop("_ofcl")
-
+    if rmw_fill not in RMW_FILLS:
+        raise ValueError(f"unknown rmw_fill {rmw_fill!r}")
     missing = lambda c: F.col(c).isNull() | (F.col(c) == 0)
-    ofcl = ofcl.withColumns({
-        "_rmw_missing": missing("radius_of_maximum_winds"),
-        "_pc_missing": missing("central_pressure"),
-        "_bg_missing": missing("background_pressure"),
-    })
+    is_ofcl = F.col("advisory").eqNullSafe("OFCL")
+    others = track.filter(~is_ofcl)
+    ofcl = track.filter(is_ofcl).repartition(*CYCLE).withColumn("_rmw_missing", missing("radius_of_maximum_winds"))
+    ofcl = _with_reference(ofcl, track, rmw_fill)
+    ofcl = ofcl.withColumns({f"_{k}_missing": missing(c) & F.col("_repaired") for k, c in (("pc", "central_pressure"), ("bg", "background_pressure"))})
 
+    rmw = F.col("radius_of_maximum_winds")
     if rmw_fill == "persistent":
-        ofcl = ofcl.withColumn("radius_of_maximum_winds",
-                               F.when(F.col("_rmw_missing"), F.col("ref.rmw0")).otherwise(F.col("radius_of_maximum_winds")))
-    elif rmw_fill in ("regression_penny_2023", "regression_penny_2023_with_smoothing", "regression_penny_2023_no_smoothing"):
-        reg = regression_rmw(ofcl, refs)
-        ofcl = ofcl.join(reg, [*CYCLE, "forecast_hours"], "left").withColumn(
-            "radius_of_maximum_winds",
-            F.when(F.col("_rmw_reg").isNotNull(), F.col("_rmw_reg")).otherwise(F.col("radius_of_maximum_winds"))).drop("_rmw_reg")
-        if rmw_fill != "regression_penny_2023_no_smoothing":
-            ofcl = apply_smoothing(ofcl)
-    elif rmw_fill not in ("none", None):
-        raise ValueError(f"unknown rmw_fill {rmw_fill!r}")
+        rmw = F.when(F.col("_rmw_missing") & F.col("_repaired"), F.col("ref.rmw0")).otherwise(rmw)
+    if "_estimates" in ofcl.columns:
+        rmw = F.coalesce(F.try_element_at("_estimates", F.col("forecast_hours")), rmw)
+    if "_fixes" in ofcl.columns:
+        ofcl = ofcl.withColumn("_fix", F.try_element_at("_fixes", F.col("forecast_hours")))
+        rmw = F.when(F.col("_fix.over"), F.col("_fix.bounded")).when(F.col("_fix.use"), F.col("_fix.mean")).otherwise(rmw)
+    ofcl = ofcl.withColumn("radius_of_maximum_winds", rmw)
 
     ofcl = ofcl.withColumn("background_pressure",
                            F.when(F.col("_bg_missing"), F.col("ref.bg0")).otherwise(F.col("background_pressure")))
@@ -332,5 +351,4 @@ def correct_ofcl(track: DataFrame, rmw_fill: str = "regression_penny_2023",
     elif pc_fill not in ("none", None):
         raise ValueError(f"unknown pc_fill {pc_fill!r}")
 
-    ofcl = ofcl.drop("ref", "_rmw_missing", "_pc_missing", "_bg_missing")
-    return others.unionByName(ofcl)
+    return others.unionByName(ofcl.select(*others.columns))

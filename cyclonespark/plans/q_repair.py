@@ -160,11 +160,98 @@ def ofcl_repair_courtney_knaff(spark, sf_dir):
     return _out(R.correct_ofcl(ordered_track(spark, sf_dir), rmw_fill="persistent", pc_fill="regression_courtney_knaff_2009"))
 
 
-@register("ofcl_repair_regression", covers=("M3", "M4", "M5", "W10", "W11", "J10", "E11", "M10"))
+def _values(rows) -> str:
+    return "(VALUES " + ", ".join("(" + ", ".join(str(v) for v in row) + ")" for row in rows) + ")"
+
+
+_BIAS_ROWS = _values((12 * i, *row) for i, row in enumerate(zip(R.BIAS_LAT, R.BIAS_VMAX, R.BIAS_R34, R.BIAS_R50, R.BIAS_R64, strict=True)))
+_COEF_ROWS = _values((n, hour, f"{row}::DOUBLE[]") for n, rows in R.COEFS.items() for hour, row in zip(R.COEF_HOURS, rows, strict=False))
+_COEF_LAST = _values((n, f"{rows[-1]}::DOUBLE[]") for n, rows in R.COEFS.items())
+_QUADRANTS = ["isotach_radius_for_NEQ", "isotach_radius_for_SEQ", "isotach_radius_for_SWQ", "isotach_radius_for_NWQ"]
+_GRID_HOURS = ", ".join(f"({h})" for h in R.SMOOTHING_EXTRA_HOURS)
+
+REGRESSION_SQL = f"""
+reg_rows AS (
+  SELECT *, {_r34_sql('1.0')} / 0.85 AS mean_radius, greatest({", ".join(f"nullif({q}, 0)" for q in _QUADRANTS)}) AS max_radius,
+    row_number() OVER (PARTITION BY storm_id, track_start_time, forecast_hours ORDER BY line_no) AS pos
+  FROM rep_in
+),
+reg_hours AS (
+  SELECT storm_id, track_start_time, forecast_hours AS h, any_value(rmw0) AS rmw0, count(*) AS n, min(line_no) FILTER (rmw_missing) AS asks,
+    max(max_sustained_wind_speed) FILTER (pos = 1) AS vmax, max(latitude) FILTER (pos = 1) AS lat, max(radius_of_maximum_winds) FILTER (pos = 1) AS rmw,
+    [max(mean_radius) FILTER (pos = 1), max(mean_radius) FILTER (pos = 2), max(mean_radius) FILTER (pos = 3)] AS means, count(mean_radius) > 0 AS has,
+    arg_max({{'maxr': max_radius, 'iso': isotach_radius, 'vmax': max_sustained_wind_speed, 'rmw': radius_of_maximum_winds}}, line_no) AS fin
+  FROM reg_rows GROUP BY storm_id, track_start_time, forecast_hours
+),
+reg_bias(hb, b_lat, b_vmax, b34, b50, b64) AS {_BIAS_ROWS},
+reg_coef(cn, ch, a) AS {_COEF_ROWS},
+reg_coef_last(cn, a) AS {_COEF_LAST},
+reg_steps AS (
+  SELECT storm_id, track_start_time, h, rmw0, vmax - b_vmax AS v, lat - b_lat AS lat, has,
+    [means[1] - b34, means[2] - b50, means[3] - b64][1:n] AS own,
+    row_number() OVER (PARTITION BY storm_id, track_start_time ORDER BY asks) AS k
+  FROM reg_hours JOIN reg_bias ON hb = least(h, 120) WHERE asks IS NOT NULL AND h >= 12 AND n <= 3
+),
+reg_fold(storm_id, track_start_time, k, h, radii) AS (
+  SELECT DISTINCT storm_id, track_start_time, 0::BIGINT, 0, [NULL::DOUBLE] FROM reg_steps
+  UNION ALL
+  SELECT s.storm_id, s.track_start_time, s.k, s.h,
+    CASE WHEN s.has THEN s.own WHEN s.v > 50 THEN f.radii[1:2] WHEN s.v > 34 THEN f.radii[1:1] ELSE [NULL::DOUBLE] END
+  FROM reg_fold f JOIN reg_steps s ON s.storm_id = f.storm_id AND s.track_start_time = f.track_start_time AND s.k = f.k + 1
+),
+reg_known AS (
+  SELECT s.*, list_filter(f.radii, lambda r: r IS NOT NULL) AS r FROM reg_steps s JOIN reg_fold f USING (storm_id, track_start_time, k)
+),
+reg_raw AS (
+  SELECT storm_id, track_start_time, x.h, rmw0,
+    pow(rmw0, a[2]) * coalesce(list_aggregate(list_transform(r, lambda y, i: pow(y, a[i + 2])), 'product'), 1)
+      * pow(v, a[len(r) + 3]) * exp(a[1] + a[len(r) + 4] * lat) AS est
+  FROM (SELECT g.*, coalesce(c.a, l.a) AS a FROM reg_known g JOIN reg_coef_last l ON l.cn = len(g.r) LEFT JOIN reg_coef c ON c.cn = len(g.r) AND c.ch = g.h) x
+  UNION ALL SELECT storm_id, track_start_time, h, rmw0, rmw0 FROM reg_hours WHERE asks IS NOT NULL AND h < 12
+),
+reg_est AS (
+  SELECT storm_id, track_start_time, h, CASE WHEN est IS NULL OR isnan(est) THEN greatest(120.0, rmw0) ELSE greatest(least(est, greatest(120.0, rmw0)), 5.0) END AS est FROM reg_raw
+),
+sm_points AS (SELECT storm_id, track_start_time, h, coalesce(est, rmw) AS r FROM reg_hours LEFT JOIN reg_est USING (storm_id, track_start_time, h)),
+sm_hours AS (
+  SELECT storm_id, track_start_time, h AS g FROM sm_points
+  UNION SELECT storm_id, track_start_time, extra.h FROM (SELECT DISTINCT storm_id, track_start_time FROM sm_points) CROSS JOIN (VALUES {_GRID_HOURS}) extra(h)
+),
+sm_ends AS (
+  SELECT storm_id, track_start_time, g, arg_max({{'h': h, 'r': r}}, h) FILTER (h <= g) AS p, arg_min({{'h': h, 'r': r}}, h) FILTER (h >= g) AS n
+  FROM sm_hours JOIN sm_points USING (storm_id, track_start_time) GROUP BY storm_id, track_start_time, g
+),
+sm_grid AS (
+  SELECT storm_id, track_start_time, g, CASE WHEN p IS NULL THEN n.r WHEN n IS NULL OR p.h = g THEN p.r ELSE p.r + ((g - p.h) / (n.h - p.h)) * (n.r - p.r) END AS r FROM sm_ends
+),
+sm_mean AS (
+  SELECT a.storm_id, a.track_start_time, a.g, avg(b.r) AS mean
+  FROM sm_grid a JOIN sm_grid b ON a.storm_id = b.storm_id AND a.track_start_time = b.track_start_time AND abs(a.g - b.g) <= 12 GROUP BY ALL
+),
+sm_origin AS (SELECT storm_id, track_start_time, arg_min(forecast_hours, line_no) AS origin FROM rep_in GROUP BY ALL),
+sm_fix AS (
+  SELECT storm_id, track_start_time, h, coalesce(mean < fin.maxr OR fin.maxr IS NULL, false) AS use, mean, fin.maxr AS maxr, fin.maxr * fin.iso / nullif(fin.vmax, 0) AS bounded, coalesce(est, fin.rmw) AS own
+  FROM reg_hours JOIN sm_origin USING (storm_id, track_start_time) JOIN sm_mean m USING (storm_id, track_start_time) LEFT JOIN reg_est USING (storm_id, track_start_time, h)
+  WHERE m.g = h - origin AND h <> 0
+),
+rep_regression AS (
+  SELECT t.* REPLACE (
+    CASE WHEN coalesce(CASE WHEN f.use THEN f.mean ELSE f.own END > f.maxr, false) THEN f.bounded WHEN f.use THEN f.mean ELSE coalesce(e.est, t.radius_of_maximum_winds) END AS radius_of_maximum_winds,
+    CASE WHEN bg_missing THEN bg0 ELSE background_pressure END AS background_pressure)
+  FROM rep_in t LEFT JOIN reg_est e ON e.storm_id = t.storm_id AND e.track_start_time = t.track_start_time AND e.h = t.forecast_hours
+  LEFT JOIN sm_fix f ON f.storm_id = t.storm_id AND f.track_start_time = t.track_start_time AND f.h = t.forecast_hours
+)"""
+
+
+def _rounded(columns: str) -> str:
+    return columns.replace("radius_of_maximum_winds", "round(radius_of_maximum_winds, 6) AS radius_of_maximum_winds")
+
+
+@register("ofcl_repair_regression", covers=("M3", "M4", "M5", "W10", "W11", "J10", "E11", "M10"), sql=S.with_ctes(
+    S.DECK_SQL, REF_CTES, REGRESSION_SQL, HOLLAND_SQL.replace("FROM rep_persist", "FROM rep_regression"), body=f"""
+SELECT {_rounded(OUT_COLS)} FROM rep_holland
+UNION ALL SELECT {_rounded(OUT_COLS)} FROM rep_other""").replace("WITH ", "WITH RECURSIVE ", 1))
 def ofcl_repair_regression(spark, sf_dir):
-    """Default repair (Penny regression + smoothing, persistent Holland B); checked against a
-    brute-force per-cycle evaluation in tests/test_repair.py."""
+    """Default repair: Penny regression with smoothing, persistent Holland B."""
     out = R.correct_ofcl(ordered_track(spark, sf_dir))
-    return out.select("storm_id", "line_no", "advisory", F.round("radius_of_maximum_winds", 6).alias("radius_of_maximum_winds"),
-                      F.round("background_pressure", 6).alias("background_pressure"),
-                      F.round("central_pressure", 6).alias("central_pressure"))
+    return _out(out).withColumn("radius_of_maximum_winds", F.round("radius_of_maximum_winds", 6))
