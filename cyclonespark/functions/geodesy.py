@@ -16,8 +16,6 @@ optimizer constant-folds the chained iterations into one ever-growing expression
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,6 +131,25 @@ def with_direct(df: DataFrame, lon, lat, azimuth_deg, distance_m, out: str = "_d
     return df.select(*keep, F.struct(lon2.alias("lon"), F.degrees(lat2).alias("lat")).alias(out))
 
 
+def direct_sql(source: str, keep: str, iterations: int = ITERATIONS, prefix: str = "gd") -> tuple[str, str]:
+    """DuckDB text of the direct problem: (CTEs, final relation) with ``keep``, lon, lat from a relation with lon1, lat1, az (degrees), dist (m)."""
+    fl, usq = repr(WGS84_F), repr((WGS84_A ** 2 - WGS84_B ** 2) / WGS84_B ** 2)
+    steps = [f"""{prefix}0 AS (SELECT {keep}, lon1, sin(radians(az)) AS sa1, cos(radians(az)) AS ca1, dist, atan((1 - {fl}) * tan(radians(lat1))) AS u1 FROM {source}),
+{prefix}a AS (SELECT *, sin(u1) AS su1, cos(u1) AS cu1, atan2(tan(u1), ca1) AS sig1, cos(u1) * sa1 AS sa FROM {prefix}0),
+{prefix}b AS (SELECT *, 1 - sa * sa AS ca2, (1 - sa * sa) * {usq} AS usq FROM {prefix}a),
+{prefix}c AS (SELECT *, dist / ({WGS84_B!r} * (1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq))))) AS sig0,
+  usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq))) AS bb FROM {prefix}b),
+{prefix}s0 AS (SELECT *, sig0 AS sig FROM {prefix}c)"""]
+    for i in range(1, iterations + 1):
+        steps.append(f"""{prefix}s{i} AS (SELECT * EXCLUDE (sig, m), sig0 + bb * sin(sig) * (m + bb / 4 * (cos(sig) * (-1 + 2 * m * m)
+  - bb / 6 * m * (-3 + 4 * sin(sig) * sin(sig)) * (-3 + 4 * m * m))) AS sig FROM (SELECT *, cos(2 * sig1 + sig) AS m FROM {prefix}s{i - 1}))""")
+    steps.append(f"""{prefix}e AS (SELECT *, cos(2 * sig1 + sig) AS m, su1 * sin(sig) - cu1 * cos(sig) * ca1 AS tmp, {fl} / 16 * ca2 * (4 + {fl} * (4 - 3 * ca2)) AS cc FROM {prefix}s{iterations}),
+{prefix}out AS (SELECT {keep}, degrees(atan2(su1 * cos(sig) + cu1 * sin(sig) * ca1, (1 - {fl}) * sqrt(sa * sa + tmp * tmp))) AS lat,
+  ((lon1 + degrees(atan2(sin(sig) * sa1, cu1 * cos(sig) - su1 * sin(sig) * ca1)
+    - (1 - cc) * {fl} * sa * (sig + cc * sin(sig) * (m + cc * cos(sig) * (-1 + 2 * m * m)))) + 540) % 360) - 180 AS lon FROM {prefix}e)""")
+    return ",\n".join(steps), f"{prefix}out"
+
+
 # ---------------------------------------------------------------------------------------
 # DuckDB text of the same inverse solution (used by the SQL oracles): an unrolled chain of
 # CTEs, one per iteration, over a relation exposing lon1, lat1, lon2, lat2.
@@ -185,7 +202,3 @@ def inverse_sql(source: str, keep: str, iterations: int = ITERATIONS, prefix: st
     )
     return ",\n".join(ctes), f"{prefix}out"
 
-
-def haversine_bound_m(lat_deg: float) -> float:
-    """Metres per degree of latitude upper bound (used for bbox pre-filters)."""
-    return math.pi / 180 * WGS84_A

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cyclonespark.functions import pressure as P
+from cyclonespark.functions.columns import let
 from cyclonespark.functions.timeutil import NMI_TO_M, clamp
 from cyclonespark.operators.ordering import ORDER_COLUMNS, row_key
 from cyclonespark.operators.tracks import max_quadrant_radius, mean_quadrant_radius
@@ -159,11 +160,6 @@ def courtney_knaff_pressure(df: DataFrame, partition=("storm_id", "advisory", "t
 # M3 / M4: RMW regression as one walk over a cycle's lead hours
 # ---------------------------------------------------------------------------------------
 
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with the value evaluated once."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def cycle_hours(ofcl: DataFrame) -> DataFrame:
     """Per cycle: ``hours``, a struct per lead hour in the order in which the hours first lack an RMW
     (those that never do first), and ``origin``, the lead hour of the first record."""
@@ -209,8 +205,8 @@ def _estimate(x: Column, vmax: Column, radii: Column, rmw0: Column) -> Column:
             n = F.size(present)
             product = F.aggregate(F.zip_with(present, F.slice(a, F.lit(3), n), F.pow), F.lit(1.0), lambda p, r: p * r)
             return F.pow(rmw0, F.get(a, F.lit(1))) * product * F.pow(vmax, F.get(a, n + 2)) * F.exp(F.get(a, F.lit(0)) + F.get(a, n + 3) * (x["lat"] - _bias(BIAS_LAT, x["hour"])))
-        return _let(_coefs(F.size(present), x["hour"]), value)
-    return _let(F.filter(radii, lambda r: r.isNotNull() & ~F.isnan(r)), with_coefs)
+        return let(_coefs(F.size(present), x["hour"]), value)
+    return let(F.filter(radii, lambda r: r.isNotNull() & ~F.isnan(r)), with_coefs)
 
 
 def regression_rmw(hours: Column, rmw0: Column) -> Column:
@@ -228,7 +224,7 @@ def regression_rmw(hours: Column, rmw0: Column) -> Column:
     later = F.filter(asked, lambda x: (x["hour"] >= 12) & (x["n"] <= 3) & _bias(BIAS_VMAX, x["hour"]).isNotNull())
 
     def step(state, x):
-        return _let(x["vmax"] - _bias(BIAS_VMAX, x["hour"]), lambda vmax: _let(_radii(state["radii"], x, vmax), lambda radii: F.struct(
+        return let(x["vmax"] - _bias(BIAS_VMAX, x["hour"]), lambda vmax: let(_radii(state["radii"], x, vmax), lambda radii: F.struct(
             radii.alias("radii"), F.concat(state["done"], F.array(entry(x, bounded(_estimate(x, vmax, radii, rmw0))))).alias("done"))))
 
     start = F.struct(F.array(F.lit(None).cast("double")).alias("radii"), F.array().cast("array<struct<hour:int,rmw:double>>").alias("done"))
@@ -257,7 +253,7 @@ def hour_grid(points: Column) -> Column:
     def at(g):
         below, above = F.filter(points, lambda p: p["h"] <= g), F.filter(points, lambda p: p["h"] >= g)
         ends = F.struct(F.try_element_at(below, F.lit(-1)).alias("p"), F.get(above, F.lit(0)).alias("n"))
-        return F.struct(g.alias("h"), _let(ends, lambda e: between(e["p"], e["n"], g)).alias("r"))
+        return F.struct(g.alias("h"), let(ends, lambda e: between(e["p"], e["n"], g)).alias("r"))
 
     return F.transform(grid, at)
 
@@ -275,12 +271,12 @@ def smoothed_rmw(hours: Column, estimates: Column, grid: Column, origin: Column)
 
         def bound(s):
             maxr, last = x["last"]["maxr"], F.coalesce(F.try_element_at(estimates, x["hour"]), x["last"]["rmw"])
-            return _let((s["mean"] < maxr) | maxr.isNull(), lambda use: F.struct(
+            return let((s["mean"] < maxr) | maxr.isNull(), lambda use: F.struct(
                 F.coalesce(use, F.lit(False)).alias("use"), s["mean"].alias("mean"),
                 F.coalesce(F.when(use, s["mean"]).otherwise(last) > maxr, F.lit(False)).alias("over"),
                 F.try_divide(maxr * x["last"]["iso"], x["last"]["vmax"]).alias("bounded")))
 
-        return F.struct(x["hour"].alias("hour"), _let(F.struct(mean.alias("mean")), bound).alias("fix"))
+        return F.struct(x["hour"].alias("hour"), let(F.struct(mean.alias("mean")), bound).alias("fix"))
 
     written = F.filter(hours, lambda x: (x["hour"] != 0) & F.exists(grid, lambda v: v["h"] == x["hour"] - origin))
     return F.map_from_entries(F.transform(written, entry))
