@@ -322,6 +322,29 @@ product AS (
 )"""
 
 
+def storm_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Water levels in the month of the surrogate storms: one reading per order, in steps of six minutes."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    k = F.col("o_orderkey")
+    minutes = (k * 42 % 43200).cast("int")
+    return o.select(
+        F.when(k % 9 == 0, "hourly_height").otherwise("water_level").alias("product"),
+        (F.lit(8000000) + F.col("o_custkey") % 100).cast("long").alias("nos_id"),
+        F.timestamp_add("MINUTE", minutes, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("t"),
+        (F.col("o_totalprice") / 100000.0).alias("v"), ((k % 100) / 1000.0).alias("s"), F.lit("0,0,0,0").alias("f"),
+        F.when(k % 10 == 0, "p").otherwise("v").alias("q"), F.when(k % 8 == 0, "NAVD").otherwise("MSL").alias("datum"))
+
+
+STORM_PRODUCT_SQL = """
+storm_product AS (
+  SELECT CASE WHEN o_orderkey % 9 = 0 THEN 'hourly_height' ELSE 'water_level' END AS product,
+    CAST(8000000 + o_custkey % 100 AS BIGINT) AS nos_id, TIMESTAMP '2024-01-01' + to_minutes(o_orderkey * 42 % 43200) AS t,
+    o_totalprice / 100000.0 AS v, (o_orderkey % 100) / 1000.0 AS s, '0,0,0,0' AS f,
+    CASE WHEN o_orderkey % 10 = 0 THEN 'p' ELSE 'v' END AS q, CASE WHEN o_orderkey % 8 = 0 THEN 'NAVD' ELSE 'MSL' END AS datum
+  FROM orders
+)"""
+
+
 def with_ctes(*parts: str, body: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + body
 
