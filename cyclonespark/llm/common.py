@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -94,3 +96,45 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f"cyclonespark/{f.relative_to(root)}")
     context.addPyFile(str(archive))
+
+
+def release() -> None:
+    """Give memory that is free, but still held by the allocators, back to the system: a Python worker idles
+    beside the next stage's JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not glibc
+
+
+def lean(task):
+    """A generator over batches that releases memory at its end."""
+
+    def run(batches):
+        yield from task(batches)
+        release()
+
+    return run
+
+
+def lean_group(task):
+    """A function of one group that releases memory afterwards."""
+
+    def run(frame):
+        out = task(frame)
+        release()
+        return out
+
+    return run
+
+
+def lean_groups(task):
+    """A function of two cogroups that releases memory afterwards."""
+
+    def run(left, right):
+        out = task(left, right)
+        release()
+        return out
+
+    return run

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cyclonespark.llm.common import blocks_for, checkpoint, ship
+from cyclonespark.llm.common import blocks_for, checkpoint, lean, ship
 from cyclonespark.llm.hashing import U, chunks, mix, windows, words_of
 
 BANDS, ROWS = 24, 4
@@ -216,7 +216,7 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = PERCENT, doc_id: str =
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.encode(F.col(text), "utf-8").alias("_body"))
     rows = rows.withColumn("uid", F.xxhash64("doc_id", "_body"))
     schema = "uid long, doc_id long, n_shingles long, node binary, bands array<long>"
-    known = checkpoint(rows.mapInPandas(_describe(k), schema))
+    known = checkpoint(rows.mapInPandas(lean(_describe(k)), schema))
     # a node's sets are read from one of its rows
     nodes = checkpoint(known.filter("node IS NOT NULL").groupBy("node").agg(F.min_by(F.struct("uid", "bands"), "uid").alias("r")).select("node", "r.*"))
 
@@ -231,7 +231,7 @@ def near_dups(docs: DataFrame, k: int = 5, percent: int = PERCENT, doc_id: str =
     wanted = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "uid")
     # rows that repeat a doc_id and its text give a node twice
     bodies = rows.join(wanted, "uid").select("node", "_body").dropDuplicates(["node"])
-    sets = checkpoint(bodies.mapInPandas(_sets(k), "node binary, shingles array<long>"))
+    sets = checkpoint(bodies.mapInPandas(lean(_sets(k)), "node binary, shingles array<long>"))
 
     hubs = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
     hubs = checkpoint(_compared(hubs, sets, percent))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclonespark.llm.common import ship
+from cyclonespark.llm.common import lean, ship
 
 TIERS = (256, 512, 1024, 2048, 4096)
 END_ID = 2
@@ -223,15 +223,17 @@ def encoder(path: str) -> WordIds:
     return _ENCODERS[path]
 
 
-def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, doc_id: str = "doc_id", text: str = "text", remember: bool = True) -> DataFrame:
     """Pieces of all documents, in the columns of ``SCHEMA``; sequence ids are unique and a block's are consecutive.
 
     ``tokenizer_path`` is a file of the tokenizers library on every executor; ids are below 65,536.
+    With ``remember`` a Python worker's encoder and its words outlive the task, at up to some 300 MB; without,
+    later stages have that memory.
     """
     end = array("H", [END_ID]).tobytes()
 
     def task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path) if remember else WordIds(tokenizer_path)
         # 2 ** 32 sequences a task
         first = TaskContext.get().partitionId() << 32
         names: list = []
@@ -254,4 +256,4 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, d
             yield pack_block(names, ids, first, tiers)
 
     ship(docs.sparkSession)
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(task, SCHEMA)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(task if remember else lean(task), SCHEMA)

@@ -32,11 +32,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cyclonespark.llm.common import ship
+from cyclonespark.llm.common import lean_group, lean_groups, ship
 from cyclonespark.llm.hashing import U, chunks, windows, words_of
 
 WINDOW = 35
-GROUP_BYTES = 12_000_000
+GROUP_BYTES = 5_000_000
 #: windows of a hash bucket, on average
 BUCKET_WINDOWS = 1_000_000
 
@@ -237,12 +237,12 @@ def dedup(docs: DataFrame, window: int = WINDOW, text: str = "text", text_out: b
     rows = rows.withColumn("_pid", F.pmod(F.xxhash64(*[F.col(c) for c in others if c == "doc_id"], "_body"), F.lit(groups)))
     bodies = rows.groupBy("_pid")
 
-    by_bucket = bodies.applyInPandas(_probe(block, buckets), _BLOBS).groupBy("bucket")
-    hits = by_bucket.applyInPandas(_answer_probe, _BLOBS)
-    compared = bodies.cogroup(hits.groupBy("pid")).applyInPandas(_compare(block, window, buckets), _BLOBS)
-    again = compared.groupBy("bucket").applyInPandas(_answer_compare, _BLOBS)
+    by_bucket = bodies.applyInPandas(lean_group(_probe(block, buckets)), _BLOBS).groupBy("bucket")
+    hits = by_bucket.applyInPandas(lean_group(_answer_probe), _BLOBS)
+    compared = bodies.cogroup(hits.groupBy("pid")).applyInPandas(lean_groups(_compare(block, window, buckets)), _BLOBS)
+    again = compared.groupBy("bucket").applyInPandas(lean_group(_answer_compare), _BLOBS)
     replies = hits.withColumn("kind", F.lit(0)).unionByName(again.withColumn("kind", F.lit(1)))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name not in ("_pid", "_body")] + ["n_words long, n_removed long, kept_sha256 string, _kept binary, spans array<int>"])
-    out = bodies.cogroup(replies.groupBy("pid")).applyInPandas(_mark(block, window, buckets, text_out), schema)
+    out = bodies.cogroup(replies.groupBy("pid")).applyInPandas(lean_groups(_mark(block, window, buckets, text_out)), schema)
     kept = F.decode("_kept", "utf-8").alias("kept_text")
     return out.select(*others, "n_words", "n_removed", "kept_sha256", "spans", *([kept] if text_out else []))
