@@ -40,7 +40,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack all that is left into sequences of up to 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), remember=False)
 
 
 STAGES = [
