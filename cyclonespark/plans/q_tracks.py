@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -422,6 +424,41 @@ def position_changes(spark, sf_dir):
     return changed_positions(d, moved, key=("storm_id", "line_no"))
 
 
+_MOVED = "line_no % 37 = 3"
+
+
+def moved_track(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The surrogate track with some positions edited."""
+    return ordered_track(spark, sf_dir).withColumn("longitude", F.when(F.expr(_MOVED), F.col("longitude") + 0.1).otherwise(F.col("longitude")))
+
+
+@register("motion_recomputed", covers=("W4", "W13"), sql=S.with_ctes(S.DECK_SQL, f"""
+track_m AS (SELECT * REPLACE (CASE WHEN {_MOVED} THEN longitude + 0.1 ELSE longitude END AS longitude) FROM track)""",
+    re.sub(r"\btrack\b", "track_m", MOTION_CTES), f"""
+todo AS (SELECT storm_id, line_no, {_MOVED} OR speed IS NULL AS changed FROM track_m),
+ref_prev AS (
+  SELECT storm_id, advisory, line_no, datetime, lag(line_no) OVER w AS prev, lag(datetime) OVER w AS prev_at
+  FROM track_m WINDOW w AS (PARTITION BY storm_id, advisory ORDER BY record_time, line_no)
+),
+ref_line AS (
+  SELECT r.storm_id, r.line_no, CASE WHEN any_value(prev_at) > r.datetime THEN coalesce(
+      arg_max(b.line_no, (b.record_time, b.line_no)) FILTER (b.datetime < r.datetime),
+      arg_min(b.line_no, (b.record_time, b.line_no)) FILTER (b.datetime > r.datetime)) ELSE any_value(prev) END AS ref
+  FROM ref_prev r JOIN track_m b ON b.storm_id = r.storm_id AND b.advisory = r.advisory GROUP BY r.storm_id, r.line_no, r.datetime
+)""", body="""
+SELECT t.storm_id, t.line_no, round(CASE WHEN a.changed OR coalesce(b.changed, false) THEN m.speed ELSE t.speed END, 4) AS speed,
+  round(CASE WHEN a.changed OR coalesce(b.changed, false) THEN m.direction ELSE t.direction END, 4) AS direction
+FROM track_m t JOIN motion m ON m.storm_id = t.storm_id AND m.line_no = t.line_no JOIN todo a ON a.storm_id = t.storm_id AND a.line_no = t.line_no
+JOIN ref_line r ON r.storm_id = t.storm_id AND r.line_no = t.line_no LEFT JOIN todo b ON b.storm_id = r.storm_id AND b.line_no = r.ref"""))
+def motion_recomputed(spark, sf_dir):
+    from cyclonespark.operators.velocity import changed_positions, recompute_changed
+
+    moved = moved_track(spark, sf_dir)
+    changed = changed_positions(ordered_track(spark, sf_dir), moved, key=("storm_id", "line_no"))
+    out = recompute_changed(moved, changed)
+    return out.select("storm_id", "line_no", F.round("speed", 4).alias("speed"), F.round("direction", 4).alias("direction"))
+
+
 # --- P19: decks whose RAD field is missing ---------------------------------------------------
 
 @register("deck_rad_check", covers=("P19",), sql=S.with_ctes(S.DECK_SQL, body="""

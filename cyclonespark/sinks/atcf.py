@@ -116,7 +116,7 @@ def write_track_text(lines: DataFrame, path: str, overwrite: bool = False, suffi
     if not overwrite:
         there = _written_storms(spark, path)
         if there is not None:
-            todo = todo.join(there, "storm_id", "left_anti")
+            todo = todo.join(there, F.col("storm_id").cast("string") == F.col("_there"), "left_anti")
     ordered = (todo.repartition("storm_id")
                .sortWithinPartitions("storm_id", *ORDER_COLUMNS)
                .select("storm_id", "line"))
@@ -127,11 +127,10 @@ def write_track_text(lines: DataFrame, path: str, overwrite: bool = False, suffi
 def _written_storms(spark: SparkSession, path: str) -> DataFrame | None:
     """Storms that a target folder holds already; None for a new folder."""
     try:
-        old = spark.read.text(path)
+        # the given type keeps an id such as 007 from being read as a number
+        old = spark.read.schema("value string, storm_id string").text(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    if "storm_id" not in old.columns:
-        return None
-    return old.select(F.col("storm_id").cast("string").alias("storm_id")).distinct()
+    return old.select(F.col("storm_id").alias("_there")).distinct()

@@ -97,6 +97,32 @@ def test_sink_skips_and_overwrites(spark):
         write_track_text(lines, out, suffix=".csv")
 
 
+def test_sink_knows_ids_that_look_like_numbers(spark):
+    lines = spark.createDataFrame([(i, dt.datetime(2020, 1, 1), "BEST", 1, i) for i in ("007", "7", "AL06")], "storm_id string, record_time timestamp_ntz, advisory string, line_no long, line string")
+    out = os.path.join(tempfile.mkdtemp(prefix="cyclonespark-sink-"), "tracks")
+    for _ in range(2):
+        write_track_text(lines, out)
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["007", "7", "AL06"]
+
+
+def test_recomputed_motion_equals_a_whole_recomputation_where_it_can_differ(spark):
+    from cyclonespark.operators.ordering import order_track
+    from cyclonespark.operators.velocity import changed_positions, compute_velocity, recompute_changed
+    from cyclonespark.plans import surrogates as S
+
+    track = order_track(S.deck(spark, "/root/testdata/sf0.001"))
+    assert recompute_changed(track, track.select("storm_id", "line_no").limit(0)).filter("speed IS NULL").count() == 0
+    moved = track.withColumn("latitude", F.when(F.col("line_no") % 50 == 1, F.col("latitude") + 0.2).otherwise(F.col("latitude")))
+    changed = changed_positions(track, moved, key=("storm_id", "line_no"))
+    key = lambda df: {(r.storm_id, r.line_no): (r.speed, r.direction) for r in df.collect()}
+    got, whole, own = key(recompute_changed(moved, changed)), key(compute_velocity(moved)), key(track)
+    edited = {(r.storm_id, r.line_no) for r in changed.collect()}
+    assert len(got) == len(own) and len(edited) > 10
+    new = {k for k in got if got[k] != own[k]}
+    assert all(got[k] == whole[k] for k in new | edited) and all(got[k] == own[k] for k in got.keys() - new)
+    assert len(edited) < len(new | edited) < len(got)
+
+
 def test_deck_listing_and_paths(spark):
     listing = spark.createDataFrame([("aal062018.dat.gz",), ("bal062018.dat",), ("bal052017.dat",)], "filename string")
     assert [r.filename for r in deck_catalog(listing, file_deck="b").collect()] == ["bal062018.dat", "bal052017.dat"]
