@@ -9,7 +9,7 @@ from cyclonespark.operators import correlate as J
 from cyclonespark.plans import surrogates as S
 from cyclonespark.plans.q_catalog import catalog
 from cyclonespark.plans.registry import register
-from cyclonespark.schema import FLOOD_EVENT_COLUMNS
+from cyclonespark.schema import FLOOD_EVENT_COLUMNS, hwm_schema
 from cyclonespark.sources import surveys as U
 
 EV_COLS = ", ".join(FLOOD_EVENT_COLUMNS)
@@ -131,3 +131,42 @@ SELECT instrument_id, sensor_type_id, deployment_type_id, event_id, location_des
 WHERE sensor_type_id = 1 AND deployment_type_id IN (2, 3)"""))
 def event_sensors(spark, sf_dir):
     return U.filter_sensors(S.part_sensors(spark, sf_dir), sensor_type=1, deployment_type=[2, 3])
+
+
+# --- S6, S7, S9: records read from JSON text, bad lines put aside ----------------------------
+
+@register("flood_events_json", covers=("S6", "J11"), sql=S.with_ctes(S.FLOOD_SQL, body=f"SELECT {EV_COLS} FROM flood WHERE {S.json_reason_sql('usgs_id')} IS NULL"))
+def flood_events_json(spark, sf_dir):
+    good, _ = U.json_records(S.json_lines(S.flood_event_records(spark, sf_dir), "event_id"), U.FLOOD_EVENT_RECORD)
+    return U.flood_events(good)
+
+
+@register("high_water_marks_json", covers=("S7",), sql=S.with_ctes(S.HWM_SQL, body=f"""
+SELECT hwm_id, site_id, event_id, hwm_quality_id, stateName, survey_date, flag_date, elev_ft, markerName FROM hwm WHERE {S.json_reason_sql('hwm_id')} IS NULL"""))
+def high_water_marks_json(spark, sf_dir):
+    good, _ = U.json_records(S.json_lines(S.hwm_records(spark, sf_dir), "hwm_id"), hwm_schema())
+    return U.high_water_marks(good).select("hwm_id", "site_id", "event_id", "hwm_quality_id", "stateName", "survey_date", "flag_date", "elev_ft", "markerName")
+
+
+@register("event_files_json", covers=("S9", "P16"), sql=S.with_ctes(S.PARTS_SQL, body=f"""
+SELECT file_id, filetype_id, name, event_id FROM files WHERE filetype_id IN (1, 2) AND {S.json_reason_sql('file_id')} IS NULL"""))
+def event_files_json(spark, sf_dir):
+    good, _ = U.json_records(S.json_lines(S.part_files(spark, sf_dir), "file_id"), U.FILE_RECORD)
+    return U.filter_files(good, file_type=[1, 2])
+
+
+@register("json_quarantine", covers=("S6", "S7", "S9"), sql=S.with_ctes(S.FLOOD_SQL, S.HWM_SQL, S.PARTS_SQL, body=f"""
+SELECT 'event' AS record, usgs_id AS line_no, {S.json_reason_sql('usgs_id')} AS reason FROM flood WHERE {S.json_reason_sql('usgs_id')} IS NOT NULL
+UNION ALL SELECT 'mark', hwm_id, {S.json_reason_sql('hwm_id')} FROM hwm WHERE {S.json_reason_sql('hwm_id')} IS NOT NULL
+UNION ALL SELECT 'file', file_id, {S.json_reason_sql('file_id')} FROM files WHERE {S.json_reason_sql('file_id')} IS NOT NULL
+UNION ALL SELECT 'sensor', instrument_id, {S.json_reason_sql('instrument_id')} FROM sensors WHERE {S.json_reason_sql('instrument_id')} IS NOT NULL"""))
+def json_quarantine(spark, sf_dir):
+    """Lines that hold no record of their schema, with the reason."""
+    sources = [("event", S.flood_event_records(spark, sf_dir), "event_id", U.FLOOD_EVENT_RECORD), ("mark", S.hwm_records(spark, sf_dir), "hwm_id", hwm_schema()),
+               ("file", S.part_files(spark, sf_dir), "file_id", U.FILE_RECORD), ("sensor", S.part_sensors(spark, sf_dir), "instrument_id", U.SENSOR_RECORD)]
+    out = None
+    for name, records, key, schema in sources:
+        _, bad = U.json_records(S.json_lines(records, key), schema)
+        bad = bad.select(F.lit(name).alias("record"), "line_no", "reason")
+        out = bad if out is None else out.unionByName(bad)
+    return out

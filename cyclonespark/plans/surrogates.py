@@ -345,6 +345,19 @@ storm_product AS (
 )"""
 
 
+def json_lines(records: DataFrame, id_column: str) -> DataFrame:
+    """Records as JSON text, some of it damaged by id: cut off, a text for a number, no object, blank."""
+    k = F.col(id_column)
+    line = F.to_json(F.struct("*"))
+    line = (F.when(k % 101 == 0, F.substring(line, 1, 20)).when(k % 103 == 0, F.regexp_replace(line, f'"{id_column}":[0-9]+', f'"{id_column}":"x"'))
+            .when(k % 107 == 0, F.lit("[1]")).when(k % 109 == 0, F.lit("  ")).otherwise(line))
+    return records.select(k.alias("line_no"), line.alias("line"))
+
+
+def json_reason_sql(k: str) -> str:
+    return f"CASE WHEN {k} % 101 = 0 THEN 'no record' WHEN {k} % 103 = 0 THEN 'wrong type' WHEN {k} % 107 = 0 THEN 'no record' WHEN {k} % 109 = 0 THEN 'empty' END"
+
+
 def with_ctes(*parts: str, body: str) -> str:
     return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + body
 

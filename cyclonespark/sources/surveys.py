@@ -59,6 +59,43 @@ def decode(value: Column, mapping: dict[int, str], strict: bool = False) -> Colu
     return name
 
 
+# ---------------------------------------------------------------------------------------
+# records as JSON text, one a line
+# ---------------------------------------------------------------------------------------
+
+# FIXED VALUES: fields of the services' event, file and sensor records
+FLOOD_EVENT_RECORD = ("event_id long, event_name string, event_description string, event_type_id long, event_status_id long, event_coordinator long, "
+                      "instruments string, last_updated string, last_updated_by double, event_start_date string, event_end_date string")
+FILE_RECORD = "file_id long, filetype_id long, name string, event_id long"
+SENSOR_RECORD = "instrument_id long, sensor_type_id long, deployment_type_id long, event_id long, location_description string"
+
+
+def _ddl(schema) -> str:
+    return schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def json_records(lines: DataFrame, schema, text: str = "line") -> tuple[DataFrame, DataFrame]:
+    """The records of ``lines`` that fit ``schema`` (a DDL string or StructType), and a quarantine table of the other lines.
+
+    Records have the schema's columns, a missing field is NULL.  The quarantine keeps the columns of ``lines`` and
+    a ``reason``: ``empty``, ``no record`` (not a JSON object) or ``wrong type`` (a value that its column
+    cannot hold).  Both come from one projection over the lines; no line is lost and none stops the job.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    blank = F.col(text).isNull() | (F.trim(text) == "")
+    is_object = F.get_json_object(text, "$").startswith("{")
+    read = lines.withColumn("_r", F.from_json(text, f"{_ddl(schema)}, _corrupt string", options))
+    reason = F.when(blank, "empty").when(~F.coalesce(is_object, F.lit(False)), "no record").when(F.col("_r._corrupt").isNotNull(), "wrong type")
+    read = read.withColumn("reason", reason)
+    return read.filter("reason IS NULL").select("_r.*").drop("_corrupt"), read.filter("reason IS NOT NULL").drop("_r")
+
+
+def read_json_lines(spark: SparkSession, paths: str | Sequence[str], schema) -> tuple[DataFrame, DataFrame]:
+    """``json_records`` of text files (splittable; the quarantine names the file)."""
+    lines = spark.read.text(paths).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("path"))
+    return json_records(lines, schema)
+
+
 def read_flood_event_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.option("multiLine", "true").json(paths)
 

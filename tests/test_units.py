@@ -277,3 +277,17 @@ def test_region_mappings_with_holes(spark):
     got = sorted((r.region_id, r.nos_id) for r in stations_in_geojson(stations, regions).collect())
     assert got == [(1, 2), (1, 5), (2, 1), (2, 2), (2, 5)]
     assert stations_in_geojson(stations, regions, status="HISTORICAL").count() == 2
+
+
+def test_json_lines_and_their_quarantine(spark, tmp_path):
+    from cyclonespark.sources import surveys as U
+
+    lines = ['{"file_id": 1, "name": "a", "event_id": 5}', '{"file_id": "x"}', '{"file_id": 2', "[3]", "", '{"other": 1}', "plain", '{"file_id": 4, "more": {"a": [1]}, "name": "é\\n"}']
+    (tmp_path / "files.json").write_text("\n".join(lines))
+    good, bad = U.read_json_lines(spark, str(tmp_path / "files.json"), U.FILE_RECORD)
+    assert good.columns == ["file_id", "filetype_id", "name", "event_id"]
+    assert sorted((r.file_id or 0, r.name or "") for r in good.collect()) == [(0, ""), (1, "a"), (4, "é\n")]
+    assert sorted((r.reason, r.line) for r in bad.collect()) == sorted([("wrong type", lines[1]), ("no record", lines[2]), ("no record", "[3]"), ("empty", ""), ("no record", "plain")])
+    none = spark.createDataFrame([(None,)], "line string")
+    assert [r.reason for r in U.json_records(none, U.FILE_RECORD)[1].collect()] == ["empty"]
+    assert U.json_records(none.filter("line = ''"), U.FILE_RECORD)[0].count() == 0
