@@ -90,6 +90,24 @@ def event_by_name(spark, sf_dir):
     return U.event_by_name(ev, req)
 
 
+@register("event_requests", covers=("P15",), sql=S.with_ctes(S.FLOOD_SQL, """
+asked AS (
+  SELECT c_custkey AS req_id, CASE WHEN c_custkey % 41 <> 0 THEN (1995 + c_custkey % 8) || ' Hurricane Name' || (c_custkey % 110) END AS name,
+    CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 1995 + (c_custkey + 1) % 8 ELSE 1995 + c_custkey % 8 END AS year
+  FROM customer
+)""", body="""
+SELECT req_id, usgs_id, CASE WHEN usgs_id IS NOT NULL THEN NULL WHEN name IS NULL THEN 'no name'
+  WHEN NOT EXISTS (SELECT 1 FROM flood f WHERE f.name = asked_ids.name) THEN 'unknown name' ELSE 'not in that year' END AS reason
+FROM (SELECT a.*, (SELECT min(f.usgs_id) FROM flood f WHERE f.name = a.name AND (a.year IS NULL OR f.year = a.year)) AS usgs_id FROM asked a) asked_ids"""))
+def event_requests(spark, sf_dir):
+    """Every customer asks for a flood event by name, most with a year; some names or years do not exist."""
+    k = F.col("c_custkey")
+    name = F.concat((1995 + k % 8).cast("string"), F.lit(" Hurricane Name"), (k % 110).cast("string"))
+    year = F.when(k % 5 == 0, F.lit(None)).when(k % 3 == 0, 1995 + (k + 1) % 8).otherwise(1995 + k % 8)
+    asked = S.table(spark, sf_dir, "customer").select(k.alias("req_id"), F.when(k % 41 != 0, name).alias("name"), year.cast("int").alias("year"))
+    return U.event_requests(events(spark, sf_dir), asked)
+
+
 HWM_OUT = ("hwm_id, site_id, event_id, hwm_type_id, hwm_quality_id, hwm_environment, stateName, countyName, stillwater, "
            "survey_date, flag_date, elev_ft, height_above_gnd, latitude, longitude, markerName")
 

@@ -157,6 +157,21 @@ def event_by_name(events: DataFrame, requests: DataFrame) -> DataFrame:
             .select("r.req_id", F.col("e.usgs_id").alias("usgs_id")))
 
 
+def event_requests(events: DataFrame, requests: DataFrame) -> DataFrame:
+    """P15 with a report: every request (req_id, name, year?) with its first event, or the ``reason`` why there is none:
+    ``no name`` (a NULL one), ``unknown name`` or ``not in that year``.
+
+    One equi-join on the name and one partial aggregation; strict callers test ``reason`` in the
+    result instead of counting in a pass of their own.
+    """
+    named = events.select("name", F.col("year").alias("_year"), "usgs_id")
+    met = requests.select("req_id", "name", "year").join(named, "name", "left")
+    fits = F.col("year").isNull() | (F.col("_year") == F.col("year"))
+    out = met.groupBy("req_id", "name", "year").agg(F.min(F.when(fits, F.col("usgs_id"))).alias("usgs_id"), F.count("usgs_id").alias("_named"))
+    reason = F.when(F.col("usgs_id").isNotNull(), F.lit(None)).when(F.col("name").isNull(), "no name").when(F.col("_named") == 0, "unknown name").otherwise("not in that year")
+    return out.select("req_id", "usgs_id", reason.cast("string").alias("reason"))
+
+
 # ---------------------------------------------------------------------------------------
 # high-water marks
 # ---------------------------------------------------------------------------------------

@@ -291,3 +291,13 @@ def test_json_lines_and_their_quarantine(spark, tmp_path):
     none = spark.createDataFrame([(None,)], "line string")
     assert [r.reason for r in U.json_records(none, U.FILE_RECORD)[1].collect()] == ["empty"]
     assert U.json_records(none.filter("line = ''"), U.FILE_RECORD)[0].count() == 0
+
+
+def test_event_requests_report_what_is_missing(spark):
+    from cyclonespark.sources import surveys as U
+
+    events = spark.createDataFrame([(7, "A", 2001), (5, "A", 2002), (9, "B", None)], "usgs_id long, name string, year int")
+    asked = spark.createDataFrame([(1, "A", None), (2, "A", 2001), (3, "A", 1999), (4, "C", None), (5, None, 2001), (6, "B", None), (7, "B", 2001), (1, "A", None)], "req_id int, name string, year int")
+    got = sorted(map(tuple, U.event_requests(events, asked).collect()))
+    assert got == [(1, 5, None), (2, 7, None), (3, None, "not in that year"), (4, None, "unknown name"), (5, None, "no name"), (6, 9, None), (7, None, "not in that year")]
+    assert U.event_requests(events.limit(0), asked).filter("reason IS NULL").count() == 0
