@@ -1,16 +1,15 @@
 """ATCF deck ingest (a/b/f decks and fort.22 files, plain or gzip).
 
 ``read_deck_lines`` turns many files into one ``(path, line_no, line)`` table in
-parallel over files; ``parse_deck_lines`` turns any such line table into typed
-track records.  Gzip files are not splittable, so a whole file is one record
-(``wholetext``) and ``posexplode`` keeps the exact line order of the file.
+parallel over the blocks of files; ``parse_deck_lines`` turns any such line table
+into typed track records.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cyclonespark.schema import (
@@ -22,14 +21,23 @@ from cyclonespark.schema import (
 
 
 def read_deck_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per non-empty physical line: ``path, line_no (0-based), line``."""
+    """One row per non-blank physical line of files or folders: ``path, line_no (0-based, blank lines counted), line``.
+
+    Plain files are split into blocks like any text, gzip files are one block.  A block's lines
+    are numbered where they are read; the counts of the blocks before it in its file, one row a
+    block, are joined on.  Both branches read the same blocks, so a repeated task numbers as the first did.
+    """
     if isinstance(paths, str):
         paths = [paths]
-    raw = spark.read.option("wholetext", "true").text(list(paths))
-    raw = raw.select(F.col("_metadata.file_path").alias("path"), F.col("value"))
-    lines = raw.select("path", F.posexplode(F.split(F.col("value"), "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("line", F.regexp_replace("line", "\r$", ""))
-    return lines.filter(F.length(F.trim("line")) > 0).withColumn("line_no", F.col("line_no").cast("long"))
+    raw = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"), F.regexp_replace("value", "\r$", "").alias("line"))
+    blocks = raw.groupBy("path", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("path", "_block", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_start"))
+    lines = raw.join(starts, ["path", "_block"])
+    lines = lines.select("path", (F.col("_start") + F.col("_at")).cast("long").alias("line_no"), "line")
+    return lines.filter(F.length(F.trim("line")) > 0)
 
 
 def _field(fields: Column, index: int) -> Column:
@@ -114,21 +122,20 @@ def parse_deck_lines(lines: DataFrame, extras: str = "null", fort22: bool = Fals
         # a file whose tails hold commas gets the (empty) extended columns instead of its tail
         comma = F.coalesce(F.col("extra_values").contains(","), F.lit(False))
         if "path" in out.columns:
-            from pyspark.sql import Window
-
-            comma = F.max(comma).over(Window.partitionBy("path"))
-        out = out.withColumn("extra_values", F.when(comma, F.lit(None).cast("string")).otherwise(F.col("extra_values")))
+            # one row a file, so that no record is shuffled for it
+            files = out.groupBy(F.col("path").alias("_path")).agg(F.max(comma).alias("_comma"))
+            out = out.join(files, F.col("path").eqNullSafe(F.col("_path"))).drop("_path")
+            comma = F.col("_comma")
+        out = out.withColumn("extra_values", F.when(comma, F.lit(None).cast("string")).otherwise(F.col("extra_values"))).drop("_comma")
     return out
 
 
 def with_storm_code(decks: DataFrame, file_col: str = "path") -> DataFrame:
     """``storm_id`` = basin + number + year of the last record of each file (one storm per deck)."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(file_col)
-    last = F.max_by(F.struct("basin", "storm_number", "record_time"), F.col("line_no")).over(w)
-    code = F.upper(F.concat(last["basin"], last["storm_number"], F.year(last["record_time"]).cast("string")))
-    return decks.withColumn("storm_id", code)
+    last = F.max_by(F.struct("basin", "storm_number", "record_time"), F.col("line_no")).alias("_last")
+    code = F.upper(F.concat("_last.basin", "_last.storm_number", F.year("_last.record_time").cast("string")))
+    codes = decks.groupBy(F.col(file_col).alias("_file")).agg(last).select("_file", code.alias("storm_id"))
+    return decks.join(codes, F.col(file_col).eqNullSafe(F.col("_file"))).drop("_file")
 
 
 def rad_field_check(lines: DataFrame, file_col: str = "path") -> DataFrame:
