@@ -57,17 +57,27 @@ ITEM_PATTERN = r'<li><a href="[^"]*">([^<]*)</a></li>'
 PREFIXES = ["Hurricane", "Tropical Storm", "Tropical Depression", "Subtropical Storm", "Post-Tropical Cyclone"]
 
 
-def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(identifier, long_name, year) built from the anchor texts of each page's list items."""
+def archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive pages (html, year): each page's list items as the rows of a ``<table>``, a second table behind it."""
     pages = S.table(spark, sf_dir, "pages").select("page_id", "html")
-    items = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(ITEM_PATTERN), 1)).alias("pos", "text"))
-    pos = F.col("pos") + 1
-    prefix = F.element_at(F.array(*[F.lit(p) for p in PREFIXES]), (pos % 5 + 1).cast("int"))
-    return items.select(
-        F.concat(F.when(pos % 2 == 0, "al").otherwise("ep"), F.lpad(pos.cast("string"), 2, "0")).alias("identifier"),
-        F.concat(prefix, F.lit(" "), F.col("text")).alias("long_name"),
-        (F.lit(1992) + F.col("page_id") % 8).alias("year"),
-    )
+    prefix = F.array(*[F.lit(p) for p in PREFIXES])
+
+    def row(text, at):
+        pos = at + 1
+        code = F.concat(F.when(pos % 2 == 0, "al").otherwise("ep"), F.lpad(pos.cast("string"), 2, "0"))
+        name = F.concat(F.element_at(prefix, (pos % 5 + 1).cast("int")), F.lit(" "), text)
+        return F.concat(F.lit('<tr class="storm">\n <td><a href="/">'), code, F.lit("</a></td><td> <b>"), name, F.lit("</b> </td>\n</tr>"))
+
+    rows = F.array_join(F.transform(F.regexp_extract_all("html", F.lit(ITEM_PATTERN), 1), row), "\n")
+    return pages.select(
+        F.concat(F.lit("<html><TABLE border=1><tr><th>id</th><th>name</th></tr>"), rows,
+                 F.lit("</TABLE><table><tr><td>x</td></tr><tr><td>zz99</td><td>Hurricane Other</td></tr></table></html>")).alias("html"),
+        (F.lit(1992) + F.col("page_id") % 8).alias("year"))
+
+
+def page_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(identifier, long_name, year) of the first table of each archive page."""
+    return C.html_table_items(archive_pages(spark, sf_dir))
 
 
 HTML_SQL = """
@@ -149,6 +159,45 @@ def storm_lookup(spark, sf_dir):
     return C.lookup_storms(catalog(spark, sf_dir), lookup_requests(spark, sf_dir))
 
 
+@register("storm_requests", covers=("P9", "P2"), sql=S.with_ctes(S.CATALOG_SQL, REQ_SQL, """
+asked AS (SELECT req_id, CASE WHEN req_id % 50 = 7 THEN NULL WHEN req_id % 50 = 8 THEN 1900 ELSE year END AS year, basin, number, name FROM reqs),
+hit AS (
+  SELECT r.req_id, c.nhc_code, c.name, c.year, trim(c.basin) AS basin, c.number,
+    row_number() OVER (PARTITION BY r.req_id ORDER BY c.year, c.number, c.basin, c.line_no) AS rn
+  FROM cat_body c JOIN asked r ON c.year = r.year
+    AND (r.basin IS NULL OR contains(c.basin, upper(r.basin))) AND (r.number IS NULL OR c.number = r.number)
+    AND (r.name IS NULL OR coalesce(regexp_full_match(c.name, upper(r.name)), false)))""", body="""
+SELECT r.req_id, h.nhc_code, h.name, h.year, h.basin, h.number,
+  CASE WHEN h.nhc_code IS NOT NULL THEN NULL WHEN r.year IS NULL THEN 'no year'
+    WHEN NOT EXISTS (SELECT 1 FROM cat_body c WHERE c.year = r.year) THEN 'no storm in that year'
+    WHEN r.name IS NOT NULL AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT year, name FROM cat_body) c
+      WHERE c.year = r.year AND regexp_full_match(c.name, upper(r.name))) THEN 'no such name in that year'
+    ELSE 'other basin or number' END AS reason
+FROM asked r LEFT JOIN (SELECT * FROM hit WHERE rn = 1) h USING (req_id)"""))
+def storm_requests(spark, sf_dir):
+    """The requests of ``storm_lookup``, some without a year or of a year without storms; each with its storm or a reason."""
+    k = F.col("req_id") % 50
+    asked = lookup_requests(spark, sf_dir).withColumn("year", F.when(k == 8, 1900).when(k != 7, F.col("year")))
+    return C.storm_requests(catalog(spark, sf_dir), asked)
+
+
+# a code may be given with blanks and in any letter case; every order asks for one, some for none that exists
+@register("storm_by_code", covers=("P10",), sql=S.with_ctes(S.CATALOG_SQL, """
+coded AS (SELECT o_custkey, CASE o_custkey % 3 WHEN 0 THEN 'al' WHEN 1 THEN 'Ep' ELSE ' XX' END || lpad(CAST(o_custkey % 45 AS VARCHAR), 2, '0')
+    || CAST(year(o_orderdate) AS VARCHAR) || ' ' AS code, o_orderkey FROM orders),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY nhc_code ORDER BY year, number, basin, line_no) AS rn
+  FROM catalog WHERE line_no <> (SELECT min(line_no) FROM catalog)) WHERE rn = 1)""", body="""
+SELECT o_orderkey AS req_id, nhc_code, f.name, f.class, f.year, f.number, f.start_date FROM coded LEFT JOIN firsts f ON f.nhc_code = upper(trim(code))"""))
+def storm_by_code(spark, sf_dir):
+    k = F.col("o_custkey")
+    code = F.concat(F.when(k % 3 == 0, "al").when(k % 3 == 1, "Ep").otherwise(" XX"), F.lpad((k % 45).cast("string"), 2, "0"),
+                    F.year("o_orderdate").cast("string"), F.lit(" "))
+    asked = S.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("req_id"), code.alias("code"))
+    cat = catalog(spark, sf_dir)
+    first = cat.groupBy("nhc_code").agg(F.min_by(F.struct(*[c for c in cat.columns if c != "nhc_code"]), F.struct(*C.catalog_order(cat))).alias("s"))
+    return C.storm_by_code(first.select("nhc_code", "s.*"), asked).select("req_id", "nhc_code", "name", "class", "year", "number", "start_date")
+
+
 @register("storm_by_name_year", covers=("P10", "P9"), sql=S.with_ctes(S.CATALOG_SQL, REQ_SQL, body="""
 SELECT req_id, nhc_code FROM (
   SELECT r.req_id, c.nhc_code, row_number() OVER (PARTITION BY r.req_id ORDER BY c.year, c.number, c.basin, c.line_no) AS rn

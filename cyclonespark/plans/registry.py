@@ -30,6 +30,7 @@ def load_all() -> None:
     # importing the modules fills the registry
     from cyclonespark.plans import (  # noqa: F401
         q_catalog,
+        q_files,
         q_flood,
         q_geometry,
         q_repair,

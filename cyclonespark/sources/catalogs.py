@@ -150,6 +150,29 @@ def lookup_storms(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     return best.select("req_id", "s.nhc_code", "s.name", "s.year", F.trim("s._basin").alias("basin"), "s.number")
 
 
+def storm_requests(catalog: DataFrame, requests: DataFrame) -> DataFrame:
+    """P9 with a report: every request of ``lookup_storms`` with its storm, or the ``reason`` why there is none:
+    ``no year``, ``no storm in that year``, ``no such name in that year`` (names that no storm of the year matches) or
+    ``other basin or number``.
+
+    The lookup itself, and a second one for the requests it left open, by year and name alone; both are
+    equi-joins.  Repeated ``req_id`` are one request.
+    """
+    found = lookup_storms(catalog, requests).withColumnRenamed("year", "_year").withColumnRenamed("basin", "_basin").withColumnRenamed("number", "_number").withColumnRenamed("name", "_name")
+    met = requests.select("req_id", "year", "basin", "number", "name").dropDuplicates(["req_id"]).join(found, "req_id", "left")
+    nothing = F.lit(None)
+    open_ = met.filter(F.col("nhc_code").isNull() & F.col("name").isNotNull()).select(
+        "req_id", "year", nothing.cast("string").alias("basin"), nothing.cast("int").alias("number"), "name")
+    named = lookup_storms(catalog, open_).select("req_id", F.lit(True).alias("_named"))
+    years = catalog.select("year").distinct().withColumn("_any", F.lit(True))
+    reason = (F.when(F.col("nhc_code").isNotNull(), F.lit(None)).when(F.col("year").isNull(), "no year")
+              .when(F.col("_any").isNull(), "no storm in that year")
+              .when(F.col("name").isNotNull() & F.col("_named").isNull(), "no such name in that year").otherwise("other basin or number"))
+    return met.join(named, "req_id", "left").join(years, "year", "left").select(
+        "req_id", "nhc_code", F.col("_name").alias("name"), F.col("_year").alias("year"), F.col("_basin").alias("basin"),
+        F.col("_number").alias("number"), reason.cast("string").alias("reason"))
+
+
 def storm_by_code(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     """P10: storms by code, in any letter case: ``requests(req_id, code)`` to the catalog row (NULL columns when unknown)."""
     asked = requests.select("req_id", F.upper(F.trim("code")).alias("_code"))

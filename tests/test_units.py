@@ -301,3 +301,16 @@ def test_event_requests_report_what_is_missing(spark):
     got = sorted(map(tuple, U.event_requests(events, asked).collect()))
     assert got == [(1, 5, None), (2, 7, None), (3, None, "not in that year"), (4, None, "unknown name"), (5, None, "no name"), (6, 9, None), (7, None, "not in that year")]
     assert U.event_requests(events.limit(0), asked).filter("reason IS NULL").count() == 0
+
+
+def test_storm_requests_give_a_reason(spark):
+    cat = spark.createDataFrame([("AL062018", "FLORENCE", 2018, " AL", 6), ("AL012018", None, 2018, " AL", 1), ("EP022018", "BUD", 2018, " EP", 2)],
+                                "nhc_code string, name string, year int, basin string, number int")
+    asked = [(1, 2018, "al", None, "florence"), (2, 2018, "ep", None, "florence"), (3, 2018, None, None, "ida"), (4, 2017, None, None, "florence"),
+             (5, None, None, None, "florence"), (6, 2018, "cp", None, None), (7, 2018, None, 1, None), (8, 2018, None, None, "b.d"), (8, 2018, None, None, "b.d"),
+             (9, 2018, "al", None, "b.d")]
+    req = spark.createDataFrame(asked, "req_id int, year int, basin string, number int, name string")
+    got = {r.req_id: (r.nhc_code, r.reason) for r in C.storm_requests(cat, req).collect()}
+    assert got == {1: ("AL062018", None), 2: (None, "other basin or number"), 3: (None, "no such name in that year"), 4: (None, "no storm in that year"),
+                   5: (None, "no year"), 6: (None, "other basin or number"), 7: ("AL012018", None), 8: ("EP022018", None), 9: (None, "other basin or number")}
+    assert C.storm_requests(cat, req).count() == 9 and C.storm_requests(cat.limit(0), req).filter("nhc_code IS NOT NULL").count() == 0
