@@ -57,3 +57,13 @@ def storm_bounds(track: DataFrame) -> DataFrame:
         F.min_by("datetime", row_key()).alias("start_date"),
         F.max_by("datetime", row_key()).alias("end_date"),
     )
+
+
+def track_rows(track: DataFrame) -> DataFrame:
+    """``track_row``, each record's place (from 0) in its track (storm, advisory, cycle start).
+
+    BEST records go by valid time, forecast records by their place in the deck; ties in deck order.
+    """
+    by_time = F.when(F.col("advisory") == "BEST", F.col("datetime"))
+    w = Window.partitionBy("storm_id", "advisory", "track_start_time").orderBy(by_time, *ORDER_COLUMNS)
+    return track.withColumn("track_row", F.row_number().over(w) - 1)

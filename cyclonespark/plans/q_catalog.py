@@ -181,7 +181,7 @@ def storm_requests(spark, sf_dir):
     return C.storm_requests(catalog(spark, sf_dir), asked)
 
 
-# a code may be given with blanks and in any letter case; every order asks for one, some for none that exists
+# --- P10: codes in any letter case, with blanks; some name no storm ----------------------
 @register("storm_by_code", covers=("P10",), sql=S.with_ctes(S.CATALOG_SQL, """
 coded AS (SELECT o_custkey, CASE o_custkey % 3 WHEN 0 THEN 'al' WHEN 1 THEN 'Ep' ELSE ' XX' END || lpad(CAST(o_custkey % 45 AS VARCHAR), 2, '0')
     || CAST(year(o_orderdate) AS VARCHAR) || ' ' AS code, o_orderkey FROM orders),

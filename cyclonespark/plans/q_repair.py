@@ -255,3 +255,23 @@ def ofcl_repair_regression(spark, sf_dir):
     """Default repair: Penny regression with smoothing, persistent Holland B."""
     out = R.correct_ofcl(ordered_track(spark, sf_dir))
     return _out(out).withColumn("radius_of_maximum_winds", F.round("radius_of_maximum_winds", 6))
+
+
+# --- M1: Holland B and its inversions ------------------------------------------------------
+
+@register("holland_b_inversions", covers=("M1", "E12"), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, line_no, round(b, 6) AS b, round(bg - v * v * 1.15 * exp(1.0) / b, 6) AS central_from_b,
+  round(sqrt(b * (bg - pc) / (1.15 * exp(1.0))), 6) AS wind_from_b
+FROM (SELECT *, v * v * 1.15 * exp(1.0) / (bg - pc) AS b FROM (
+  SELECT storm_id, line_no, max_sustained_wind_speed * 0.5144 AS v, background_pressure * 100 AS bg, nullif(central_pressure, 0) * 100 AS pc
+  FROM deck) WHERE bg > pc)"""))
+def holland_b_inversions(spark, sf_dir):
+    """B of every record with a pressure deficit, and the pressure and wind that it gives back."""
+    from cyclonespark.functions import pressure as P
+
+    deck = S.deck(spark, sf_dir).select("storm_id", "line_no", (F.col("max_sustained_wind_speed") * 0.5144).alias("v"),
+                                        (F.col("background_pressure") * 100).alias("bg"), (F.nullif("central_pressure", F.lit(0.0)) * 100).alias("pc"))
+    v, bg, pc, b = (F.col(c) for c in ("v", "bg", "pc", "b"))
+    out = deck.filter(bg > pc).withColumn("b", P.holland_b(v, bg, pc))
+    return out.select("storm_id", "line_no", F.round("b", 6).alias("b"), F.round(P.central_from_holland_b(v, bg, b), 6).alias("central_from_b"),
+                      F.round(P.vmax_from_holland_b(b, bg, pc), 6).alias("wind_from_b"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cyclonespark.functions.geodesy import inverse_sql
 from cyclonespark.operators import tracks as T
-from cyclonespark.operators.ordering import order_track
+from cyclonespark.operators.ordering import order_track, track_rows
 from cyclonespark.operators.velocity import compute_velocity
 from cyclonespark.plans import surrogates as S
 from cyclonespark.plans.registry import register
@@ -50,6 +50,25 @@ def track_order(spark, sf_dir):
     return t.select("storm_id", "line_no", "advisory", "track_start_time", "datetime", rid.alias("row_id"))
 
 
+@register("track_positions", covers=("O5", "U1"), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, line_no, track_start_time,
+  row_number() OVER (PARTITION BY storm_id, advisory, track_start_time
+    ORDER BY CASE WHEN advisory = 'BEST' THEN datetime END, record_time, advisory, line_no) - 1 AS track_row
+FROM track"""))
+def track_positions(spark, sf_dir):
+    return track_rows(ordered_track(spark, sf_dir)).select("storm_id", "line_no", "track_start_time", "track_row")
+
+
+@register("track_keys_best_by_row", covers=("U1", "A5", "A10"), sql=S.with_ctes(S.DECK_SQL, body="""
+SELECT storm_id, advisory, record_time AS track_start_time, count(*) AS n_rows, min(datetime) AS first_time, max(datetime) AS last_time
+FROM track GROUP BY storm_id, advisory, record_time"""))
+def track_keys_best_by_row(spark, sf_dir):
+    """Tracks where every BEST record keeps its own time as its start."""
+    t = T.separate_tracks(order_track(S.deck(spark, sf_dir), best_start="row"))
+    tracks = t.groupBy("track_key").agg(F.count(F.lit(1)).alias("n_rows"), F.min("datetime").alias("first_time"), F.max("datetime").alias("last_time"))
+    return tracks.select("track_key.*", "n_rows", "first_time", "last_time")
+
+
 # --- W1-W3: storm motion -------------------------------------------------------------------
 
 _MOTION_INV, _MOTION_OUT = inverse_sql("motion_ref", "storm_id, line_no, advisory, record_time, dt", prefix="mv")
@@ -348,6 +367,29 @@ def storm_name(spark, sf_dir):
     return T.storm_name(ordered_track(spark, sf_dir))
 
 
+@register("storm_name_catalog", covers=("A1",), sql=S.with_ctes(S.DECK_SQL, S.CATALOG_SQL, """
+coded AS (SELECT * EXCLUDE (storm_id, name), CASE WHEN storm_id % 2 = 1 THEN name END AS name,
+    (['AL', 'EP', 'CP', 'WP'])[storm_id % 4 + 1] || lpad(CAST(storm_id % 40 + 1 AS VARCHAR), 2, '0') || CAST(1992 + storm_id % 7 AS VARCHAR) AS code FROM track),
+names AS (SELECT code, name, row_number() OVER (PARTITION BY code ORDER BY name IS NULL, -n, f) AS rn FROM (
+  SELECT code, name, count(*) AS n, min((record_time, advisory, line_no)) AS f FROM coded GROUP BY code, name)),
+firsts AS (SELECT nhc_code, arg_min(struct_pack(n := name), (year, number, basin, line_no)).n AS name FROM catalog
+  WHERE line_no <> (SELECT min(line_no) FROM catalog) GROUP BY nhc_code)""", body="""
+SELECT n.code AS storm_id, CASE WHEN trim(coalesce(n.name, '')) = '' THEN lower(f.name) ELSE n.name END AS name
+FROM names n LEFT JOIN firsts f ON f.nhc_code = n.code WHERE n.rn = 1"""))
+def storm_name_catalog(spark, sf_dir):
+    """Every other deck has no names: those storms are named by the catalog."""
+    from cyclonespark.plans.q_catalog import catalog
+    from cyclonespark.sources.catalogs import catalog_order
+
+    k = F.col("storm_id")
+    basin = F.element_at(F.array(*[F.lit(b) for b in ("AL", "EP", "CP", "WP")]), (k % 4 + 1).cast("int"))
+    code = F.concat(basin, F.lpad((k % 40 + 1).cast("string"), 2, "0"), (1992 + k % 7).cast("string"))
+    track = ordered_track(spark, sf_dir).withColumn("name", F.when(k % 2 == 1, F.col("name"))).withColumn("storm_id", code)
+    cat = catalog(spark, sf_dir)
+    first = cat.groupBy("nhc_code").agg(F.min_by(F.struct("name"), F.struct(*catalog_order(cat))).alias("s"))
+    return T.storm_name(track, first.select("nhc_code", "s.name"))
+
+
 @register("storm_attributes", covers=("A4", "E9"), sql=S.with_ctes(S.DECK_SQL, body="""
 SELECT storm_id,
   arg_min(basin, (record_time, advisory, line_no)) AS basin,
