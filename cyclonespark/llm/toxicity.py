@@ -1,12 +1,13 @@
 """Toxicity: a factorization machine over hashed terms.
 
 A text's terms are its words (letters and digits, lower case) and their 4-, 5- and
-6-letter beginnings, hashed to ``HASH_BITS`` bits.  Terms are chosen by how their
-document counts differ between the labels (a Spark aggregation over all training rows of
-the sample); the machine has a weight and ``FACTORS`` factors for each chosen term, so a
-pair of terms, such as an insult and a group's name, weighs beyond the sum of its parts.
-It is fitted on at most ``MAX_ROWS`` labelled rows, taken by the least hash of the doc_id,
-which with ``TERMS`` chosen terms bounds what reaches the driver; every whole text is scored.
+6-letter beginnings, hashed to ``2 ** HASH_BITS`` slots.  The machine has a weight and ``FACTORS`` factors for
+every slot that ``SEEN`` sample rows hold, whatever their labels, so a pair of terms, such as an
+insult and a group's name, is learned even where either alone says nothing.  Weights and factors shrink to
+exact zeros where the rows do not hold them up; only slots that are not zero are shipped.
+It is fitted on at most ``MAX_ROWS`` labelled rows, taken by the least hash of the doc_id, in
+``STEPS`` minibatches whatever their number; a row reaches the driver as its distinct slots, so
+rows times slots bound what does.  Every whole text is scored.
 
 Nulls and edge cases: a null or blank text has no terms and gets the machine's base score; rows whose
 label is null are no training rows; a doc_id that labels repeat is used with its largest label;
@@ -30,12 +31,15 @@ from pyspark.sql import functions as F
 from cyclonespark.llm.common import ship
 
 HASH_BITS = 22
-TERMS = 3000
 FACTORS = 6
-#: least chi-square of a chosen term
-DIFFER = 12.0
+#: sample rows that must hold a term, of either label
+SEEN = 4
 MAX_ROWS = 20_000
-EPOCHS = 25
+STEPS = 800
+BATCH = 128
+RATE = 0.05
+#: what a step takes off a weight, and off the length of a slot's factors, in units of the loss
+SPARSE_WEIGHT, SPARSE_FACTORS = 0.7, 0.3
 MEMO = 400_000
 
 _WORD = re.compile(r"[^\W_]+")
@@ -51,7 +55,7 @@ def hashed(word: str) -> list[int]:
 class Machine:
     """score = sigmoid(bias + sum of weights + sum over pairs of the product of factors)."""
 
-    terms: np.ndarray  # chosen hashes, ascending
+    terms: np.ndarray  # slots, ascending
     bias: float
     weights: np.ndarray
     factors: np.ndarray
@@ -80,61 +84,78 @@ def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"label": batch["label"], "terms": found})
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, terms: int = TERMS) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int = STEPS) -> Machine:
     """Fit on ``docs(doc_id, text)`` joined with ``labels(doc_id, label)``, at most ``max_rows`` rows."""
     ship(docs.sparkSession)
     marked = labels.filter("label IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     sample = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # ids and labels of max_rows rows at most go to the documents, so that no text is shuffled
-    train = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInPandas(_terms, "label int, terms array<int>").persist()
-    try:
-        sizes = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-        neg, pos = sizes.get(0, 0), sum(n for k, n in sizes.items() if k)
-        base = np.log((pos + 0.5) / (neg + 0.5)) if pos + neg else 0.0
-        if not pos or not neg:
-            return Machine(np.zeros(0, np.int64), float(base), np.zeros(0), np.zeros((0, FACTORS)))
-        counts = train.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-            F.sum(F.when(F.col("label") > 0, 1).otherwise(0)).alias("p"), F.sum(F.when(F.col("label") > 0, 0).otherwise(1)).alias("n")
-        )
-        rate = (F.col("p") + F.col("n")) * F.lit(pos / (pos + neg))
-        differ = F.pow(F.col("p") - rate, F.lit(2)) / (rate + F.lit(1.0))
-        chosen = np.sort([r["term"] for r in counts.filter((F.col("p") + F.col("n") >= 4) & (differ >= DIFFER)).orderBy(differ.desc(), "term").limit(terms).collect()]).astype(np.int64)
-        kept = F.array(*[F.lit(int(t)) for t in chosen])
-        rows = train.select("label", F.array_intersect("terms", kept).alias("terms")).collect()
-    finally:
-        train.unpersist()
-    rows.sort(key=lambda r: (r["label"], r["terms"]))
-    return _descend([np.searchsorted(chosen, r["terms"]) for r in rows], np.array([float(r["label"] > 0) for r in rows]), chosen, float(base))
-
-
-def _descend(rows: list[np.ndarray], y: np.ndarray, terms: np.ndarray, base: float) -> Machine:
-    """Minibatch Adam on the logistic loss with weight decay."""
+    train = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInPandas(_terms, "label int, terms array<int>")
+    rows = train.toArrow().combine_chunks()
+    if not rows.num_rows:
+        return _empty(0.0)
+    y = (rows.column("label").to_numpy() > 0).astype(float)
+    lists = rows.column("terms").combine_chunks()
+    sizes = np.diff(lists.offsets.to_numpy())
+    terms, at, counts = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    base = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
+    if not y.any() or y.all():
+        return _empty(base)
+    kept = counts >= SEEN
+    place = np.cumsum(kept) - 1
+    owner = np.repeat(np.arange(len(y)), sizes)[kept[at]]
+    at = place[at[kept[at]]]
+    # rows in an order of their own, so that the fit does not depend on how the table is split
+    each = np.split(at, np.cumsum(np.bincount(owner, minlength=len(y)))[:-1])
+    order = sorted(range(len(y)), key=lambda i: (y[i], each[i].tobytes()))
+    return _descend([each[i] for i in order], y[order], terms[kept].astype(np.int64), base, steps)
+
+
+def _empty(base: float) -> Machine:
+    return Machine(np.zeros(0, np.int64), base, np.zeros(0), np.zeros((0, FACTORS)))
+
+
+def _descend(rows: list[np.ndarray], y: np.ndarray, terms: np.ndarray, bias: float, steps: int) -> Machine:
+    """Minibatch AdaGrad on the logistic loss; after each step the touched weights, and factors as a
+    group a slot, move towards zero by a fixed amount and stay there once they reach it."""
     rng = np.random.default_rng(11)
-    n = len(terms)
     # the rarer label weighs as much as the square root of its rarity
-    heavy = np.where(y > 0, np.sqrt((y == 0).sum() / max(1.0, y.sum())), 1.0)
-    w, v, b = np.zeros(n), rng.normal(0, 0.02, (n, FACTORS)), base
-    moments = [np.zeros(n + n * FACTORS + 1), np.zeros(n + n * FACTORS + 1)]
-    turn = 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(rows))
-        for begin in range(0, len(order), 256):
-            part = order[begin : begin + 256]
-            x = np.zeros((len(part), n))
-            for i, r in enumerate(part):
-                x[i, rows[r]] = 1.0
-            xv = x @ v
-            z = b + x @ w + 0.5 * (xv**2 - x @ v**2).sum(1)
-            miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) * heavy[part] / len(part)
-            gw = x.T @ miss + 1e-4 * w
-            gv = x.T @ (miss[:, None] * xv) - (x.T @ miss)[:, None] * v + 1e-3 * v
-            g = np.concatenate([gw, gv.ravel(), [miss.sum()]])
-            turn += 1
-            moments[0] = 0.9 * moments[0] + 0.1 * g
-            moments[1] = 0.999 * moments[1] + 0.001 * g * g
-            step = 0.02 * (moments[0] / (1 - 0.9**turn)) / (np.sqrt(moments[1] / (1 - 0.999**turn)) + 1e-8)
-            w, v, b = w - step[:n], v - step[n:-1].reshape(n, FACTORS), b - step[-1]
-    return Machine(terms, float(b), w, v)
+    heavy = np.where(y > 0, np.sqrt((y == 0).sum() / y.sum()), 1.0)
+    # column 0: weights; the others: factors
+    model = np.concatenate([np.zeros((len(terms), 1)), rng.normal(0, 0.02, (len(terms), FACTORS))], 1)
+    seen, seen_bias = np.full(model.shape, 1e-8), 1e-8
+    order = rng.permutation(len(rows))
+    for step in range(steps):
+        part = order[:BATCH]
+        order = order[BATCH:]
+        if not len(order):
+            order = rng.permutation(len(rows))
+        size = np.array([len(rows[i]) for i in part])
+        cols, back = np.unique(np.concatenate([rows[i] for i in part]), return_inverse=True)
+        owner = np.repeat(np.arange(len(part)), size)
+        got = model[cols][back]
+        sums, squares = np.zeros((len(part), FACTORS + 1)), np.zeros((len(part), FACTORS))
+        full = size > 0
+        if full.any():
+            begins = (np.cumsum(size) - size)[full]
+            sums[full] = np.add.reduceat(got, begins)
+            squares[full] = np.add.reduceat(got[:, 1:] ** 2, begins)
+        z = bias + sums[:, 0] + 0.5 * (sums[:, 1:] ** 2 - squares).sum(1)
+        miss = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) * heavy[part] / len(part)
+        up = miss[owner, None] * np.concatenate([np.ones((len(owner), 1)), sums[owner, 1:] - got[:, 1:]], 1)
+        grad = np.stack([np.bincount(back, up[:, k], len(cols)) for k in range(FACTORS + 1)], 1)
+        seen[cols] += grad * grad
+        rate = RATE / np.sqrt(seen[cols])
+        new = model[cols] - rate * grad
+        new[:, 0] = np.sign(new[:, 0]) * np.maximum(np.abs(new[:, 0]) - rate[:, 0] * SPARSE_WEIGHT / len(part), 0)
+        long = np.sqrt((new[:, 1:] ** 2).sum(1))
+        less = RATE / np.sqrt(seen[cols, 1:].mean(1)) * SPARSE_FACTORS / len(part)
+        new[:, 1:] *= np.maximum(1 - less / np.maximum(long, 1e-12), 0)[:, None]
+        model[cols] = new
+        seen_bias += miss.sum() ** 2
+        bias -= RATE * miss.sum() / np.sqrt(seen_bias)
+    held = (model != 0).any(1)
+    return Machine(terms[held], float(bias), model[held, 0], model[held, 1:])
 
 
 def score(docs: DataFrame, machine: Machine, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

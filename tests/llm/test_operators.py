@@ -301,6 +301,22 @@ def test_toxicity_learns_and_handles_edges(spark, none):
     assert all(r.score < 0.5 for r in toxicity.score(docs, one_label).collect())
 
 
+def test_toxicity_learns_pairs_of_words_harmless_alone(spark):
+    rng = random.Random(2)
+    filler = [f"word{i}" for i in range(400)]
+    rows, truth = [], {}
+    for i in range(4000):
+        one, two = rng.random() < 0.5, rng.random() < 0.5
+        w = rng.sample(filler, 20) + ["crimson"] * one + ["lantern"] * two
+        rng.shuffle(w)
+        rows.append((i, " ".join(w)))
+        truth[i] = int(one == two)  # neither word says anything without the other
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(truth.items()), "doc_id long, label int")
+    machine = toxicity.fit(docs, marks.filter(~toxicity.held_out(F.col("doc_id"))))
+    held = docs.filter(toxicity.held_out(F.col("doc_id")))
+    assert np.mean([r.predicted == truth[r.doc_id] for r in toxicity.score(held, machine).collect()]) > 0.9
+
+
 def test_forest_recall_and_edges(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(1500, 16)).astype("float32")
