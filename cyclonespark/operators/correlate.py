@@ -12,8 +12,8 @@ storm in catalog order wins.  Both steps are exact equi-joins:
   equality on (year, substring); of these only storm names are kept, and of all storms of
   a year that contain one only the winner, before any event is joined.
 
-Both cut sets are bounded by the length of one name; an event meets one storm per
-name in it, never all storms of its year.
+Both cut sets are made once a year and name, not once a storm or event, and are bounded by the length of one
+name; an event's name meets one storm per name in it, never all storms of its year.
 """
 
 from __future__ import annotations
@@ -48,22 +48,23 @@ def flood_storms(events: DataFrame, catalog: DataFrame, year=None) -> DataFrame:
     if year is not None:
         years = [year] if isinstance(year, int) else list(year)
         ev = ev.filter(F.col("year").isin(years))
-    ev_years = ev.select("year").distinct()
-    storms = catalog.join(ev_years, "year", "left_semi")
+    asked = ev.select("year", "name").distinct()
+    # one storm a year and name, the last in catalog order, before names are cut; the long maximum keeps the first step a hash aggregation
+    order = [c for c in ("year", "number", "basin", "line_no") if c in catalog.columns]
+    same = ["nhc_code", "name", *[c for c in ("year", "number", "basin") if c in catalog.columns]]
+    last = F.max("line_no" if "line_no" in catalog.columns else F.lit(0)).alias("line_no")
+    pick = F.struct(*order) if order else F.col("nhc_code")
+    per_name = catalog.groupBy(*same).agg(last).groupBy("year", "name").agg(
+        F.max(pick).alias("_pick"), F.max_by(F.struct("nhc_code", F.col("name").alias("nhc_name")), pick).alias("m"))
+    storms = per_name.join(asked.select("year").distinct(), "year", "left_semi")
     names = (storms.select(F.trim("name").alias("sn")).filter(F.col("sn").isNotNull() & (F.col("sn") != ""))
-             .distinct().withColumn("_key", F.upper("sn")))
-    spans = (ev.select("usgs_id", "year", F.explode(F.array_distinct(F.transform(word_spans(F.col("name")), lambda x: F.upper(x)))).alias("_key")))
-    ev_sn = spans.join(names, "_key").select("usgs_id", "year", "sn", "_key")
-    order = [c for c in ("year", "number", "basin", "line_no") if c in storms.columns]
-    subs = storms.select("nhc_code", F.col("name").alias("nhc_name"), *[F.col(c).alias("_o_" + c) for c in order],
-                         F.col("year").alias("_syear"),
-                         F.explode(F.array_distinct(substrings(F.upper("name")))).alias("_sub"))
+             .groupBy(F.upper("sn").alias("_key")).agg(F.max("sn").alias("sn")))
+    subs = storms.select("year", "_pick", "m", F.explode(F.array_distinct(substrings(F.upper("name")))).alias("_key"))
     # one storm a year and word: the last in catalog order of those whose name contains it
-    words = subs.join(names.select(F.col("_key").alias("_sub")).distinct(), "_sub", "left_semi")
-    pick = F.struct(*[F.col("_o_" + c) for c in order]) if order else F.col("nhc_code")
-    winners = words.groupBy(F.col("_syear").alias("year"), F.col("_sub").alias("_key")).agg(
-        F.max_by(F.struct("nhc_code", "nhc_name"), pick).alias("m"))
-    best = ev_sn.join(winners, ["year", "_key"]).groupBy("usgs_id").agg(F.max_by("m", "sn").alias("m"))
+    winners = subs.join(names, "_key").groupBy("year", "_key").agg(F.max_by("m", "_pick").alias("m"), F.first("sn").alias("sn"))
+    spans = asked.select("year", "name", F.explode(F.array_distinct(F.transform(word_spans(F.col("name")), lambda x: F.upper(x)))).alias("_key"))
+    named = spans.join(winners, ["year", "_key"]).groupBy("year", "name").agg(F.max("sn").alias("sn"), F.max_by("m", "sn").alias("m"))
+    best = ev.select("usgs_id", "year", "name").join(named, ["year", "name"]).groupBy("usgs_id").agg(F.max_by("m", "sn").alias("m"))
     out = ev.join(best, "usgs_id").select(
         F.col("m.nhc_code").alias("nhc_code"), "usgs_id", F.col("name").alias("usgs_name"), "year",
         F.col("m.nhc_name").alias("nhc_name"), *[c for c in FLOOD_EVENT_COLUMNS if c not in ("usgs_id", "name", "year")])

@@ -19,7 +19,7 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = S.catalog_csv_lines(spark, sf_dir)
     first = lines.agg(F.min("line_no").alias("_first"))
     # the first physical line is consumed as header, like the original reader
-    body = lines.join(first, lines.line_no == first._first, "left_anti")
+    body = lines.join(F.broadcast(first), lines.line_no == first._first, "left_anti")  # one row
     return C.parse_catalog_lines(body)
 
 

@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from cyclonespark.operators import geometry as G
+from cyclonespark.operators.correlate import flood_storms
 from cyclonespark.operators.ordering import order_track
 from cyclonespark.operators.velocity import compute_velocity
 from cyclonespark.plans import surrogates as S
@@ -39,3 +40,27 @@ def test_search_meets_each_shape_once_and_any_ring(spark):
     got = sorted((r.n, r.id) for r in G.points_in_shapes(pts, table, ["id"]).collect())
     want = sorted((r.n, r.id) for r in pts.crossJoin(table).filter(G.point_in_ring(F.col("x"), F.col("y"), F.col("ring"))).collect())
     assert got == want and len({i for _, i in got}) > 20
+
+
+def test_names_are_cut_once_a_year(spark):
+    cat = spark.createDataFrame([(f"AL{i:02d}2005", "RITA" if i % 2 else "ANN RITA", 2005, " AL", i, i) for i in range(1, 30)],
+                                "nhc_code string, name string, year int, basin string, number int, line_no long")
+    from cyclonespark.schema import FLOOD_EVENT_COLUMNS
+
+    ev = spark.createDataFrame([(i, "2005 Hurricane Rita", 2005, "HURRICANE") for i in (1, 2, 2)], "usgs_id long, name string, year int, event_type string")
+    for c in FLOOD_EVENT_COLUMNS:
+        if c not in ev.columns:
+            ev = ev.withColumn(c, F.lit(None).cast("string"))
+    out = flood_storms(ev, cat)
+    assert sorted((r.usgs_id, r.nhc_code, r.nhc_name) for r in out.collect()) == [(1, "AL292005", "RITA"), (2, "AL292005", "RITA"), (2, "AL292005", "RITA")]
+    lines = _plan(out).splitlines()
+    depth = lambda s: len(s) - len(s.lstrip(" :+-"))
+    cuts = [i for i, line in enumerate(lines) if "Generate explode(" in line]
+    assert cuts
+    for i in cuts:  # each cut lies over an aggregation
+        below = []
+        for line in lines[i + 1:]:
+            if depth(line) <= depth(lines[i]):
+                break
+            below.append(line)
+        assert any("Aggregate" in line for line in below)
