@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cyclonespark.schema import CATALOG_COLUMNS, CATALOG_CSV_COLUMNS
+from cyclonespark.session import stored
 
 CATALOG_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CATALOG_CSV_COLUMNS])
 
@@ -120,10 +121,14 @@ def lookup_storms(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     The catalog is first reduced to its first storm per (year, name, basin, number), and a request to
     the names it asks for: a plain name is itself, a regex is matched once against the
     distinct (year, name) pairs.  Both then join on (year, name); requests without a name join the catalog
-    reduced to the first storm per (year, basin, number), on year and number where one is given.
+    reduced to the first storm per (year, basin, number).  A request with a number joins on it too, one without
+    meets the first storm of each basin only, so that no request meets every number of its name or year.
     """
     meta = r"[.^$*+?()\[\]{}|\\]"
-    cat = catalog.withColumn("_line", F.col("line_no") if "line_no" in catalog.columns else F.lit(0)).withColumnRenamed("basin", "_basin")
+    # equal storms first meet in a hash aggregation of one long (NULL lines come first, as in the order below)
+    line = F.coalesce(F.col("line_no").cast("long"), F.lit(-(2**63))) if "line_no" in catalog.columns else F.lit(0).cast("long")
+    cat = catalog.groupBy("nhc_code", "name", "year", F.col("basin").alias("_basin"), "number").agg(F.min(line).alias("_line"))
+    cat = stored(cat, "storms")  # four steps read it
     order = F.struct("year", "number", "_basin", "_line")
     storm = F.min_by(F.struct("nhc_code", "name", "year", "_basin", "number", "_line"), order).alias("s")
     named = cat.filter(F.col("name").isNotNull()).groupBy("year", "name", "_basin", "number").agg(storm)
@@ -138,14 +143,16 @@ def lookup_storms(catalog: DataFrame, requests: DataFrame) -> DataFrame:
     hits = named.select("year", "name").distinct().join(asked, "year").filter(F.regexp_like("name", full))
     spelled = regex.withColumnRenamed("name", "_regex").join(hits, ["year", "_regex"]).drop("_regex")
 
-    fits = (F.col("_rbasin").isNull() | F.col("_basin").contains(F.col("_rbasin"))) & (F.col("_rnumber").isNull() | (F.col("number") == F.col("_rnumber")))
-    found = plain.unionByName(spelled).join(named, ["year", "name"]).filter(fits).select("req_id", "s")
-    free = req.filter(F.col("name").isNull()).drop("name")
-    with_number = free.filter(F.col("_rnumber").isNotNull()).withColumn("number", F.col("_rnumber")).join(whole, ["year", "number"]).filter(fits)
-    # without a number only the first storm per (year, basin) counts
-    firsts = whole.groupBy("year", "_basin").agg(F.min_by("s", F.struct("s.year", "s.number", "s._basin", "s._line")).alias("s"))
-    any_number = free.filter(F.col("_rnumber").isNull()).join(firsts, "year").filter(F.col("_rbasin").isNull() | F.col("_basin").contains(F.col("_rbasin")))
-    found = found.unionByName(with_number.select("req_id", "s")).unionByName(any_number.select("req_id", "s"))
+    in_basin = F.col("_rbasin").isNull() | F.col("_basin").contains(F.col("_rbasin"))
+
+    def met(wanted: DataFrame, storms: DataFrame, by: list[str]) -> DataFrame:
+        numbered = wanted.filter(F.col("_rnumber").isNotNull()).withColumn("number", F.col("_rnumber")).join(storms, [*by, "number"])
+        # without a number only the first storm of a basin counts
+        firsts = storms.groupBy(*by, "_basin").agg(F.min_by("s", F.struct("s.year", "s.number", "s._basin", "s._line")).alias("s"))
+        unnumbered = wanted.filter(F.col("_rnumber").isNull()).join(firsts, by)
+        return numbered.filter(in_basin).select("req_id", "s").unionByName(unnumbered.filter(in_basin).select("req_id", "s"))
+
+    found = met(plain.unionByName(spelled), named, ["year", "name"]).unionByName(met(req.filter(F.col("name").isNull()).drop("name"), whole, ["year"]))
     best = found.groupBy("req_id").agg(F.min_by("s", F.struct("s.year", "s.number", "s._basin", "s._line")).alias("s"))
     return best.select("req_id", "s.nhc_code", "s.name", "s.year", F.trim("s._basin").alias("basin"), "s.number")
 

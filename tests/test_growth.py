@@ -10,6 +10,7 @@ from cyclonespark.operators.correlate import flood_storms
 from cyclonespark.operators.ordering import order_track
 from cyclonespark.operators.velocity import compute_velocity
 from cyclonespark.plans import surrogates as S
+from cyclonespark.sources import catalogs as C
 from tests.conftest import SF
 
 
@@ -64,3 +65,15 @@ def test_names_are_cut_once_a_year(spark):
                 break
             below.append(line)
         assert any("Aggregate" in line for line in below)
+
+
+def test_lookups_meet_few_storms(spark):
+    rows = [(f"{b}{n:02d}2005", "RITA", 2005, f" {b}", n, n) for b in ("AL", "EP") for n in range(1, 40)]
+    cat = spark.createDataFrame([*rows, *rows, ("XX012005", None, 2005, " XX", 1, None)], "nhc_code string, name string, year int, basin string, number int, line_no long")
+    asked = spark.createDataFrame([(1, 2005, None, None, "rita"), (2, 2005, "ep", None, "ri.*"), (3, 2005, "ep", 7, "rita"), (4, 2005, None, 1, None),
+                                   (5, 2005, "xx", None, None), (6, 2005, "xx", None, "rita"), (7, 2004, None, None, "rita")],
+                                  "req_id int, year int, basin string, number int, name string")
+    out = C.lookup_storms(cat, asked)
+    assert {r.req_id: r.nhc_code for r in out.collect()} == {1: "AL012005", 2: "EP012005", 3: "EP072005", 4: "AL012005", 5: "XX012005"}
+    # storms meet in a hash aggregation of a long before any is picked
+    assert "storms-" in out._jdf.queryExecution().executedPlan().toString()
