@@ -24,16 +24,16 @@ _STRING_FIELDS = {"basin", "storm_number", "advisory_number", "advisory", "devel
 
 def pad_left(text: Column, width: int) -> Column:
     """Left pad with blanks to ``width``; longer text is kept whole (never truncated)."""
-    return F.when(F.length(text) < width, F.lpad(text, width, " ")).otherwise(text)
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit(" "))
 
 
 def _int_text(value: Column) -> Column:
-    return F.bround(F.coalesce(value.cast("double"), F.lit(float(MISSING))), 0).cast("long").cast("string")
+    return F.rint(F.coalesce(value.cast("double"), F.lit(float(MISSING)))).cast("long").cast("string")
 
 
-def _hemisphere(value_tenths: Column, pos: str, neg: str) -> Column:
-    t = _int_text(value_tenths)
-    return F.when(t.contains("-"), F.concat(F.regexp_replace(t, "-", ""), F.lit(neg))).otherwise(F.concat(t, F.lit(pos)))
+def _hemisphere(text: Column, pos: str, neg: str) -> Column:
+    """``text`` of tenths without its sign, and the hemisphere's letter."""
+    return F.concat(F.translate(text, "-", ""), F.when(text.contains("-"), neg).otherwise(pos))
 
 
 def format_atcf(track: DataFrame, advisory: str | None = None, extended: bool = False,
@@ -59,17 +59,19 @@ def format_atcf(track: DataFrame, advisory: str | None = None, extended: bool =
         elif name == "forecast_hours":
             fields[name] = F.col("forecast_hours").cast("string")
         elif name == "latitude":
-            fields[name] = _hemisphere(F.col("latitude") * 10, "N", "S")
+            fields[name] = _hemisphere(F.col("_lat"), "N", "S")
         elif name == "longitude":
-            fields[name] = _hemisphere(F.col("longitude") * 10, "E", "W")
+            fields[name] = _hemisphere(F.col("_lon"), "E", "W")
         elif name in ("central_pressure", "background_pressure"):
             continue
         elif name in _STRING_FIELDS:
             fields[name] = F.col(name).cast("string")
         else:
             fields[name] = _int_text(F.col(name))
-    cp = F.bround(F.coalesce(F.col("central_pressure"), F.lit(float(MISSING))), 0).cast("long")
-    bg0 = F.bround(F.coalesce(F.col("_bg"), F.lit(float(MISSING))), 0).cast("long")
+    whole = lambda c: F.rint(F.coalesce(F.col(c), F.lit(float(MISSING)))).cast("long")
+    # numbers that a field needs more than once are made once
+    df = df.withColumns({"_cp": whole("central_pressure"), "_bg0": whole("_bg"), "_lat": _int_text(F.col("latitude") * 10), "_lon": _int_text(F.col("longitude") * 10)})
+    cp, bg0 = F.col("_cp"), F.col("_bg0")
     repaired = F.when(bg0 <= cp, F.when(cp >= 1013, cp + 1).otherwise(F.lit(1013))).otherwise(bg0)
     fields["central_pressure"] = cp.cast("string")
     fields["background_pressure"] = repaired.cast("string")
@@ -83,10 +85,10 @@ def format_atcf(track: DataFrame, advisory: str | None = None, extended: bool =
         text = fields[name]
         if name in ATCF_WIDTHS:
             text = pad_left(text, ATCF_WIDTHS[name])
-        texts.append(F.coalesce(F.regexp_replace(text, str(MISSING), ""), F.lit("")))
+        texts.append(F.coalesce(F.replace(text, F.lit(str(MISSING)), F.lit("")), F.lit("")))
     if tail:
         texts.append(F.coalesce(F.col("extra_values"), F.lit("")))
-    return df.withColumn("line", F.concat_ws(",", *texts)).drop("_bg")
+    return df.withColumn("line", F.concat_ws(",", *texts)).drop("_bg", "_cp", "_bg0", "_lat", "_lon")
 
 
 def format_fort22(track: DataFrame, advisory: str | None = None) -> DataFrame:
