@@ -404,3 +404,14 @@ def test_pipeline_stages_follow_their_operators(spark, docs):
         before = kept.count()
     packed = pipeline.STAGES[-1][1](spark, kept, "")
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in kept.collect()}
+
+
+def test_html_lost_end_tag_is_where_the_template_has_it(spark):
+    def page(i, end="</div>"):
+        return (f'<html><body><div class="page"><div class="sidebar"><ul><li>Link {i}</li></ul>{end}'
+                f'<div class="text"><section><p>Story {i} is told here.</p></section></div></div></body></html>')
+
+    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(30)]
+    rows += [(30, "http://a.example/30", page(30, "")), (31, "http://a.example/31", page(31)[:130]), (32, "http://one.example/", page(32, ""))]
+    got = {r.page_id: r.text for r in html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Story {i} is told here." for i in range(31))  # 30: the sidebar does not swallow the story
