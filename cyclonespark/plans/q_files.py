@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cyclonespark.plans import surrogates as S
 from cyclonespark.plans.q_tracks import EXPORT_CTES, FORT22_CTES, MOTION_CTES, atcf_line_sql, moving_track, ordered_track
 from cyclonespark.plans.registry import register
-from cyclonespark.session import shared_path
+from cyclonespark.session import shared_path, stored
 from cyclonespark.sinks.atcf import format_atcf, format_fort22
 from cyclonespark.sinks.files import write_track_files
 from cyclonespark.sources import surveys as U
@@ -36,7 +36,9 @@ def deck_files(spark, sf_dir):
     text = text.withColumn("line", F.when(F.col("line_no") % 97 == 0, F.concat("line", F.lit("\n"))).otherwise(F.col("line")))
     folder = shared_path(spark, "decks")
     write_track_files(text, folder, order=["line_no"])
-    decks = with_storm_code(parse_deck_lines(read_deck_lines(spark, folder))).withColumnRenamed("storm_id", "nhc_code")
+    # the many files are opened once; what is found by file (comma tails, storm codes) reads the lines again
+    lines = stored(read_deck_lines(spark, folder), "lines")
+    decks = with_storm_code(parse_deck_lines(lines)).withColumnRenamed("storm_id", "nhc_code")
     return decks.select(_storm_of(), "line_no", "nhc_code", "record_time", "advisory", "forecast_hours", "latitude", "longitude",
                         "max_sustained_wind_speed", "central_pressure", "name")
 
@@ -121,7 +123,9 @@ def hwm_csv_events(spark, sf_dir):
     from cyclonespark.plans.q_flood import events
 
     flood = events(spark, sf_dir)
-    marks = S.hwm_records(spark, sf_dir).join(flood.select(F.col("usgs_id").alias("event_id"), F.col("name").alias("eventName")), "event_id", "left")
+    # the narrow names are hashed, so that the wide marks need no sort to meet them
+    names = flood.select(F.col("usgs_id").alias("event_id"), F.col("name").alias("eventName")).hint("shuffle_hash")
+    marks = S.hwm_records(spark, sf_dir).join(names, "event_id", "left")
     marks = marks.withColumn("file", F.col("event_id") % 40).withColumn("event_id", F.when(F.col("file") % 2 == 0, F.col("event_id")))
     folder = shared_path(spark, "hwm")
     marks.repartition("file").write.partitionBy("file").option("header", "true").option("ignoreTrailingWhiteSpace", "false").csv(folder)

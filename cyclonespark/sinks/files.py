@@ -50,18 +50,25 @@ def _track_files():
             storm, out = None, None
             try:
                 for batch in iterator:
-                    for key, line in zip(batch.column("storm_id").to_pylist(), batch.column("line").to_pylist()):
-                        if key != storm:
+                    keys, lines = batch.column("storm_id").to_pylist(), batch.column("line").to_pylist()
+                    begin = 0
+                    while begin < len(keys):
+                        end = begin + 1
+                        while end < len(keys) and keys[end] == keys[begin]:
+                            end += 1
+                        if keys[begin] != storm:
                             if out is not None:
                                 out.close()
-                            storm, out = key, None
-                            name = quote(key, safe=" ") + self.suffix
+                            storm, out = keys[begin], None
+                            name = quote(storm, safe=" ") + self.suffix
                             if self.overwrite or store.get_file_info(f"{root}/{name}").type == fs.FileType.NotFound:
-                                store.create_dir(folder, recursive=True)
+                                if not names:
+                                    store.create_dir(folder, recursive=True)
                                 out = store.open_output_stream(f"{folder}/{name}")
                                 names.append(name)
                         if out is not None:
-                            out.write(((line or "") + "\n").encode())
+                            out.write("".join([f"{line or ''}\n" for line in lines[begin:end]]).encode())
+                        begin = end
             finally:
                 if out is not None:
                     out.close()

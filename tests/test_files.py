@@ -25,6 +25,26 @@ def small_blocks(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+@pytest.mark.parametrize("whole", [0, 40_000, 1 << 20])
+def test_whole_and_split_files_number_alike(spark, small_blocks, monkeypatch, whole):
+    monkeypatch.setattr("cyclonespark.sources.decks.WHOLE_FILE", whole)
+    rng = random.Random(6)
+    folder, want = _folder(), set()
+    for f in range(6):
+        body = ["" if rng.random() < 0.1 else "x" * rng.randrange(1, 900) + f" {f}:{i}" for i in range((90, 200, 0, 1, 3, 90)[f])]
+        end = "\r\n" if f == 1 else "\n"
+        data = end.join(body).encode() + (b"" if f == 3 else end.encode())
+        name = f"{folder}/d{f}.dat" + (".gz" if f == 5 else "")
+        with (gzip.open if f == 5 else open)(name, "wb") as out:
+            out.write(data)
+        want |= {(os.path.basename(name), i, line) for i, line in enumerate(body) if line.strip()}
+    lines = read_deck_lines(spark, folder)
+    rows = lines.collect()
+    assert len(rows) == len(want) and {(os.path.basename(r.path), r.line_no, r.line) for r in rows} == want
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "Generate posexplode" in plan  # small files need no second reading
+
+
 def test_line_numbers_of_split_files(spark, small_blocks):
     rng = random.Random(5)
     folder, want = _folder(), set()
