@@ -19,14 +19,17 @@ are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import groupby, pairwise, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,88 +42,156 @@ END_ID = 2
 BLOCK_IDS = 4_000_000
 #: ids of one step group
 STEP_IDS = 64 * 4096
-#: remembered words and word parts of a Python worker
+#: remembered word parts of a Python worker, and as many words that are not Latin-1
 MEMO = 800_000
+#: characters that a Python worker cuts into parts at once
+SLICE = 2_000_000
+_FOREIGN = re.compile("[^\0-\xff]")
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
-_LETTER = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
-_DIGIT = "0-9²³¹¼-¾"
-_BLANK = "\t-\r \x85\xa0"
-# the tokenizer's own pre-tokens, for texts of Latin-1 characters
-_PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_BLANK}{_LETTER}{_DIGIT}]+")
+_BLANK, _LETTER, _DIGIT, _OTHER = range(4)
+#: lower case and kind of each Latin-1 character, as the tokenizer's own rules have them
+_LOWER = "".join(map(chr, range(256))).lower().encode("latin-1")
+_KIND = bytes(
+    _BLANK if re.match("[\t-\r \x85\xa0]", c) else _LETTER if re.match("[A-Za-zªµºÀ-ÖØ-öø-ÿ]", c) else _DIGIT if re.match("[0-9²³¹¼-¾]", c) else _OTHER
+    for c in map(chr, range(256))
+)
+
+
+def cut_parts(data: bytes) -> tuple[np.ndarray, pa.Array]:
+    """Where the tokenizer's own pre-tokens begin in Latin-1 text, and the pre-tokens in lower case, in order.
+
+    They are 's, 't, 're, 've, 'm, 'll and 'd, runs of letters, single digits and runs of what else is not blank.
+    ``data`` begins and ends with three blanks.
+    """
+    low = data.translate(_LOWER)
+    chars, kind = np.frombuffer(low, np.uint8), np.frombuffer(data.translate(_KIND), np.uint8)
+    begins = kind == _DIGIT
+    begins[1:] |= kind[1:] != kind[:-1]
+    quotes = np.flatnonzero(chars == ord("'"))
+    quotes = quotes[kind[quotes - 1] != _OTHER]  # others are inside a run
+    second, third = chars[quotes + 1], chars[quotes + 2]
+    short = np.isin(second, list(b"stmd"))
+    long = (np.isin(second, list(b"rv")) & (third == ord("e"))) | ((second == ord("l")) & (third == ord("l")))
+    begins[quotes[short | long] + 1] = False
+    begins[quotes[short] + 2] = True
+    begins[quotes[long] + 3] = True
+    solid = kind != _BLANK
+    begins &= solid
+    body = chars[solid]
+    offsets = np.append(np.flatnonzero(begins[solid]), len(body)).astype("int32")
+    parts = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+    return np.flatnonzero(begins), parts
 
 
 class WordIds:
-    """Ids of a text, word by word, with a memory of words.
+    """Ids of a text, part by part, with a memory of parts.
 
-    The tokenizer drops white space and no token crosses it, so a text's ids are those of
-    its words; Latin-1 words are lower-cased and split further into the tokenizer's own
-    pre-tokens, of which far fewer differ.  A text with a special token's mark goes to the
-    tokenizer whole.
+    The tokenizer drops white space and no token crosses it or a pre-token's end, so a text's
+    ids are those of its pre-tokens, of which far fewer differ.  Latin-1 texts are cut many at
+    a time, and only pre-tokens not yet known go to the tokenizer; words with other characters
+    go there as they are, and a text with a special token's mark goes there whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        # one call encodes one text, so threads would only add to the executor's own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model for pre-tokens in lower case between blanks
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         last = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(last.values()) + 1, bool)
         for token, i in last.items():
             self.ends[i] = token.endswith("</w>")
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[bytes, int] = {}  # the part's first place in ``ids``, times 2 ** 32, and its number of ids
+        self.ids = array("H")
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        if word not in self.words:
+            if len(self.words) >= MEMO:
+                self.words = {}
+            self.words[word] = self._whole(word)
+        return self.words[word]
 
-    def _learn_parts(self, parts: list[str]) -> None:
+    def _learn(self, parts: list[bytes]) -> list[int]:
         """Encode pre-tokens as one text; each ends with a token that ends a word."""
-        ids = np.asarray(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u2")
+        ids = np.asarray(self.plain.encode_batch_fast([b" ".join(parts).decode("latin-1")], add_special_tokens=False)[0].ids, "<u2")
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(parts):  # a part that is not one pre-token of its own
-            for p in parts:
-                self.parts[p] = np.asarray(self.tokenizer.encode(p, add_special_tokens=False).ids, "<u2").tobytes()
-            return
-        data, begin = ids.tobytes(), 0
-        for p, cut in zip(parts, (2 * cuts).tolist(), strict=True):
-            self.parts[p] = data[begin:cut]
-            begin = cut
-
-    def learn(self, new: list[str]) -> None:
-        if len(self.words) + len(new) > MEMO:
-            self.words = {}
-        if len(self.parts) > MEMO:
-            self.parts = {}
-        split: list[tuple[str, list[str]]] = []
-        missing: dict[str, None] = {}
-        for w in new:
-            try:
-                w.encode("latin-1")
-            except UnicodeEncodeError:
-                self.words[w] = np.asarray(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u2").tobytes()
-                continue
-            parts = _PARTS.findall(w.lower())
-            split.append((w, parts))
-            missing.update((p, None) for p in parts if p not in self.parts)
-        todo = list(missing)
-        for i in range(0, len(todo), 5000):
-            self._learn_parts(todo[i : i + 5000])
-        for w, parts in split:
-            self.words[w] = b"".join([self.parts[p] for p in parts])
+            each = [np.frombuffer(self._whole(p.decode("latin-1")), "<u2") for p in parts]
+            ids, cuts = np.concatenate(each), np.cumsum([len(e) for e in each])
+        sizes = np.diff(cuts, prepend=0)
+        places = (((len(self.ids) + cuts - sizes) << 32) | sizes).tolist()
+        self.ids.frombytes(ids.tobytes())
+        self.parts.update(zip(parts, places, strict=True))
+        return places
+
+    def _places(self, parts: list[bytes]) -> np.ndarray:
+        """Places of distinct parts, those of unknown ones after learning them."""
+        places = np.fromiter(map(self.parts.get, parts, repeat(-1)), "int64", len(parts))
+        new = np.flatnonzero(places < 0)
+        if len(self.parts) + len(new) > MEMO or len(self.ids) > 8 * MEMO:
+            self.parts, self.ids = {}, array("H")
+            new = np.arange(len(parts))
+        for i in range(0, len(new), 5000):
+            some = new[i : i + 5000]
+            places[some] = self._learn([parts[j] for j in some.tolist()])
+        return places
+
+    def _latin(self, texts: list[bytes]) -> list[bytes]:
+        """Little-endian 16-bit ids of Latin-1 texts."""
+        begins, parts = cut_parts(b"   " + b" ".join(texts) + b"   ")
+        coded = parts.dictionary_encode()
+        places = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        sizes = places & 0xFFFFFFFF
+        ends = np.cumsum(sizes)
+        at = np.repeat((places >> 32) - (ends - sizes), sizes) + np.arange(sizes.sum())
+        ids = np.frombuffer(self.ids, np.uint16)[at].astype("<u2").tobytes() if len(at) else b""
+        # a text's parts are those that begin before the next text
+        nexts = np.searchsorted(begins, np.cumsum([len(t) + 1 for t in texts]) + 2)
+        cuts = [0, *(2 * np.append(0, ends)[nexts]).tolist()]
+        return [ids[a:b] for a, b in pairwise(cuts)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian 16-bit ids of each text."""
-        split = [None if "<|" in t else t.replace("\n", " ").split(" ") for t in texts]
-        known = self.words
-        new: set[str] = set()
-        for ws in split:
-            if ws is not None:
-                new.update(ws)
-        if fresh := [w for w in new if w not in known]:
-            if len(known) + len(fresh) > MEMO:
-                self.words = {}
-                fresh = list(new)
-            self.learn(fresh)
-        get = self.words.__getitem__
-        return [np.asarray(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() if ws is None else b"".join(map(get, ws)) for t, ws in zip(texts, split, strict=True)]
+        latin: list[bytes] = []
+        made: list[list[bytes | int]] = []  # by text: ids, or a place in ``latin``
+        for t in texts:
+            if "<|" in t:
+                made.append([self._whole(t)])
+                continue
+            try:
+                latin.append(t.encode("latin-1"))
+                made.append([len(latin) - 1])
+            except UnicodeEncodeError:
+                own: list[bytes | int] = []
+                for foreign, ws in groupby(t.replace("\n", " ").split(" "), lambda w: _FOREIGN.search(w) is not None):
+                    if foreign:
+                        own += map(self._word, ws)
+                    else:
+                        own.append(len(latin))
+                        latin.append(" ".join(ws).encode("latin-1"))
+                made.append(own)
+        ids = self._latin(latin) if latin else []
+        return [b"".join([ids[x] if isinstance(x, int) else x for x in own]) for own in made]
+
+
+def slices(texts: list[str], chars: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs of texts, from and up to, of about ``chars`` characters (``SLICE``) or one text."""
+    begin = size = 0
+    for i, t in enumerate(texts, 1):
+        size += len(t)
+        if size >= (chars or SLICE) or i == len(texts):
+            yield begin, i
+            begin, size = i, 0
 
 
 def plan(lengths: list[int], tiers: tuple[int, ...] = TIERS) -> list[tuple[int, int, int, int, int]]:
@@ -242,16 +313,17 @@ def pack(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, d
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"]]
             keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
-            for i in range(0, len(texts), 256):
-                for k, b in zip(keys[i : i + 256], encode(texts[i : i + 256]), strict=True):
-                    names.append(k)
+            for begin, upto in slices(texts):
+                for i, b in enumerate(encode(texts[begin:upto]), begin):
+                    names.append(keys[i])
                     ids.append(b + end)
                     held += len(b) // 2 + 1
-                if held >= BLOCK_IDS:
-                    out = pack_block(names, ids, first, tiers)
-                    first = int(out["sequence_id"].max()) + 1
-                    yield out
-                    names, ids, held = [], [], 0
+                    # a block ends with 256 rows or their batch
+                    if held >= BLOCK_IDS and ((i + 1) % 256 == 0 or i + 1 == len(texts)):
+                        out = pack_block(names, ids, first, tiers)
+                        first = int(out["sequence_id"].max()) + 1
+                        yield out
+                        names, ids, held = [], [], 0
         if ids:
             yield pack_block(names, ids, first, tiers)
 

@@ -191,6 +191,33 @@ def test_packing(docs, rows, none):
     assert packing.pack(none, TOKENIZER).count() == 0
 
 
+def test_packing_ids_are_the_tokenizers(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(5)
+    pool = ["'", "'", "s", "T", "re", "ve", "m", "LL", "d", "l", "!", "3", "²", " ", "\n", "\t", "é", "ß", "\xa0", "\x85", "\x1c", "\0", "’", "e\u0301", "İ", "日本", "<|", "<|endoftext|>"]
+    texts = [chr(a) + chr(b) for a in range(256) for b in range(0, 256, 7)] + ["".join(rng.choice(pool) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    want = [np.asarray(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert packing.WordIds(TOKENIZER)(texts) == want
+    monkeypatch.setattr(packing, "MEMO", 50)  # forgets all the time
+    small = packing.WordIds(TOKENIZER)
+    assert [b for i, j in packing.slices(texts, 300) for b in small(texts[i:j])] == want
+    assert small([]) == [] and small(["", " \n"]) == [b"", b""]
+
+
+def test_packing_cuts_texts_in_bulk():
+    import cProfile
+    import pstats
+
+    words = ["".join(random.Random(i).choices("abcdeé", k=9)) for i in range(20000)]
+    texts = [" ".join(words[i : i + 100]) + "." for i in range(0, len(words), 100)]
+    encode = packing.WordIds(TOKENIZER)
+    with cProfile.Profile() as profile:
+        ids = encode(texts)
+    assert len(ids) == len(texts) and pstats.Stats(profile).total_calls < len(words)  # no calls for each word
+
+
 def test_token_counts(docs, rows, none):
     vocabulary = set(token_counts.vocabulary(TOKENIZER))
     longest = max(map(len, vocabulary))
