@@ -442,3 +442,33 @@ def test_html_lost_end_tag_is_where_the_template_has_it(spark):
     rows += [(30, "http://a.example/30", page(30, "")), (31, "http://a.example/31", page(31)[:130]), (32, "http://one.example/", page(32, ""))]
     got = {r.page_id: r.text for r in html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Story {i} is told here." for i in range(31))  # 30: the sidebar does not swallow the story
+
+
+def _neutral_pages():
+    """Pages whose classes say nothing: a menu and a box of other stories, both different on each page, beside the story."""
+    rows = []
+    for i in range(8):
+        menu = "".join(f'<li><a href="/{i}/{k}">Section {i * 7 + k}</a></li>' for k in range(3))
+        other = "".join(f'<p><a href="/s{k}">Another story numbered {i * 5 + k}</a></p>' for k in range(2))
+        source = f'<p>Sources are <a href="/q{i}">report {i}</a>.</p>' if i % 2 else ""
+        rows.append((i, "http://h.example.org/", f'<html><body><div class="q1"><ul>{menu}</ul></div><div class="q2"><h1>Title {i}</h1><p>Text of story {i}, told at length.</p>{source}</div><div class="q3">{other}</div></body></html>'))
+    rows.append((8, "http://links.example.org/", rows[0][2]))  # a host of one page has no slots to tell
+    return rows
+
+
+def test_html_slots_of_links_are_left_out_by_the_template(spark, monkeypatch):
+    rows = _neutral_pages()
+    got = {r.page_id: r.text for r in html_template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert got[i] == f"Title {i}\n\nText of story {i}, told at length." + (f"\n\nSources are report {i}." if i % 2 else "")
+    assert "Section 0" in got[8] and "Another story numbered 1" in got[8]
+    # the classes decide: with no valid element, and with links alone, all stays
+    role = html_template.Page(rows[0][2]).tokens
+    numbers = np.array(sorted({t[3] for t in role if t[0] != "text"}))
+    host = html_template.Template(8, numbers, np.ones(len(numbers)), np.full(len(numbers), 8))
+    assert "Section 0" not in html_template.main_text(rows[0][2], host)
+    monkeypatch.setattr(html_template.Template, "valid", lambda *_: False)
+    assert "Section 0" in html_template.main_text(rows[0][2], host)
+    monkeypatch.undo()
+    links = '<html><body><div class="q1"><ul><li><a href="/">Section 0</a></li></ul></div></body></html>'
+    assert html_template.main_text(links, host) == "Section 0"
